@@ -129,7 +129,7 @@ clean AS (
 )"""
 
 
-def tgt_cte(kind: str) -> str:
+def tgt_cte(kind: str, suffix: str = "") -> str:
     if kind == "department":
         keys, step = "SELECT n_name AS key, CAST(n_nationkey AS BIGINT) AS num FROM nation", 1000.0
     elif kind == "platform":
@@ -138,15 +138,16 @@ def tgt_cte(kind: str) -> str:
         keys = (f"SELECT DISTINCT 'Operator#' || CAST(s_suppkey % {OPERATORS} AS VARCHAR) AS key, "
                 f"CAST(s_suppkey % {OPERATORS} AS BIGINT) AS num FROM supplier")
         step = 2000.0
+    x = suffix
     return f"""
-tkeys AS ({keys}),
-tgt_all AS (
+tkeys{x} AS ({keys}),
+tgt_all{x} AS (
   SELECT CAST(v.snap AS BIGINT) AS snapshot, k.key,
          CAST(k.num * {step} * CASE WHEN v.snap = {DEFAULT_SNAPSHOT} THEN 1 ELSE 2 END AS DOUBLE) AS target
-  FROM tkeys k, (VALUES ({DEFAULT_SNAPSHOT}), ({OTHER_SNAPSHOT})) v(snap)
-  WHERE k.num < (SELECT max(num) FROM tkeys)
+  FROM tkeys{x} k, (VALUES ({DEFAULT_SNAPSHOT}), ({OTHER_SNAPSHOT})) v(snap)
+  WHERE k.num < (SELECT max(num) FROM tkeys{x})
 ),
-tgt AS (SELECT key, CAST(target AS DECIMAL(18,2)) AS target FROM tgt_all WHERE snapshot = {DEFAULT_SNAPSHOT})"""
+tgt{x} AS (SELECT key, CAST(target AS DECIMAL(18,2)) AS target FROM tgt_all{x} WHERE snapshot = {DEFAULT_SNAPSHOT})"""
 
 
 def with_ctes(*ctes: str, body: str) -> str:
