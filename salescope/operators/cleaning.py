@@ -13,7 +13,7 @@ from ..schema import (CLEAN_INPUT_COLS, COSTS, HK_FEE, HK_WAREHOUSE, LOSS_NO, LO
 from .dims import attach_goods, attach_store_dim
 from .fills import round_money
 
-_PARSE = "decimal(38,10)"
+_PARSE = "decimal(18,6)"        # compact (long-backed) decimal: fast path
 
 
 def add_iso_week(df: DataFrame, date_col: str = "order_date") -> DataFrame:

@@ -1,8 +1,11 @@
 """Dimension joins.
 
-Joins are left to the planner: with AQE on, a dimension that turns out small
-at run time is broadcast, a large one is shuffled (and skewed fact keys are
-split by AQE's skew-join handling). Nothing is broadcast on a guess.
+A dimension is broadcast only after its row count has been measured against a
+bound (``checked_broadcast``); above the bound the join is left to the
+planner -- a shuffle join, with AQE splitting skewed fact keys. Nothing is
+broadcast on a guess, and the fact is never shuffled just to meet a small
+dimension whose static size estimate happened to be wrong (a derived
+dimension's estimate is the product of its inputs).
 """
 
 from __future__ import annotations
@@ -11,6 +14,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# Dimensions up to this many rows are broadcast (a few short columns: tens of MB).
+DIM_BROADCAST_MAX_ROWS = 500_000
+
+
+def checked_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """``dim`` with a broadcast hint if it has at most ``max_rows`` rows,
+    else unchanged. The check is a bounded count (it stops reading after
+    ``max_rows + 1`` rows), so it stays cheap for a dimension of any size."""
+    limit = DIM_BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    n = dim.limit(limit + 1).count()
+    return F.broadcast(dim) if n <= limit else dim
+
+
 def _norm(c, case_insensitive: bool):
     return F.lower(c) if case_insensitive else c
 
@@ -34,8 +50,8 @@ def attach_store_dim(fact: DataFrame, dim: DataFrame, *, case_insensitive: bool
     base = fact.drop(*[c for c in dim_cols if c in fact.columns])
     if lower_store:
         base = base.withColumn(store_col, F.lower(F.col(store_col)))
-    d = clean_store_dim(dim).select(
-        _norm(F.col("store"), case_insensitive).alias("__dim_store"), *dim_cols)
+    d = checked_broadcast(clean_store_dim(dim).select(
+        _norm(F.col("store"), case_insensitive).alias("__dim_store"), *dim_cols))
     joined = base.join(d, _norm(base[store_col], case_insensitive) == d["__dim_store"], "left")
     return joined.drop("__dim_store")
 
@@ -43,12 +59,12 @@ def attach_store_dim(fact: DataFrame, dim: DataFrame, *, case_insensitive: bool
 def attach_goods(fact: DataFrame, goods: DataFrame, key_col: str, prefix: str) -> DataFrame:
     """Left join on ``key_col = sku`` adding ``{prefix}_id/_brand/_category/
     _manager`` (J4, J5). A null key matches nothing (Q2)."""
-    g = goods.where(F.col("sku").isNotNull()).select(
+    g = checked_broadcast(goods.where(F.col("sku").isNotNull()).select(
         F.col("sku").alias(f"__{prefix}_sku"),
         F.col("id").alias(f"{prefix}_id"),
         F.col("brand").alias(f"{prefix}_brand"),
         F.col("category").alias(f"{prefix}_category"),
-        F.col("manager").alias(f"{prefix}_manager"))
+        F.col("manager").alias(f"{prefix}_manager")))
     joined = fact.join(g, fact[key_col] == g[f"__{prefix}_sku"], "left")
     return joined.drop(f"__{prefix}_sku")
 

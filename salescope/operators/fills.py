@@ -43,7 +43,7 @@ def fill_all_zero(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
 def round_money(df: DataFrame, cols: list[str]) -> DataFrame:
     """Fill 0, round half-even to 2 places, type as money."""
     return df.withColumns({
-        c: F.bround(F.coalesce(F.col(c).cast("decimal(38,10)"), F.lit(0)), MONEY_SCALE).cast(MONEY_TYPE)
+        c: F.bround(F.coalesce(F.col(c).cast("decimal(18,6)"), F.lit(0)), MONEY_SCALE).cast(MONEY_TYPE)
         for c in cols})
 
 

@@ -277,10 +277,10 @@ def _dbl(cols) -> str:
 def _parsed_money_cols() -> str:
     def parse(c):
         if c == "freight_first":
-            return "CAST(NULLIF(trim(freight_first), '未更新') AS DECIMAL(38,10))"
+            return "CAST(NULLIF(trim(freight_first), '未更新') AS DECIMAL(18,6))"
         if c == "settle_total":
-            return "CAST(replace(settle_total, ',', '') AS DECIMAL(38,10))"
-        return f"CAST({c} AS DECIMAL(38,10))"
+            return "CAST(replace(settle_total, ',', '') AS DECIMAL(18,6))"
+        return f"CAST({c} AS DECIMAL(18,6))"
     return ", ".join(f"{parse(c)} AS {c}" for c in MONEY)
 
 

@@ -95,11 +95,11 @@ MONEY = ["unit_price", "unit_price_cny", "settle_total", "revenue", "cost_price"
 
 def _money_parse(c: str) -> str:
     if c == "freight_first":
-        src = "CAST(NULLIF(trim(freight_first), '未更新') AS DECIMAL(38,10))"
+        src = "CAST(NULLIF(trim(freight_first), '未更新') AS DECIMAL(18,6))"
     elif c == "settle_total":
-        src = "CAST(replace(settle_total, ',', '') AS DECIMAL(38,10))"
+        src = "CAST(replace(settle_total, ',', '') AS DECIMAL(18,6))"
     else:
-        src = f"CAST({c} AS DECIMAL(38,10))"
+        src = f"CAST({c} AS DECIMAL(18,6))"
     return f"CAST(round_even(COALESCE({src}, 0), 2) AS DECIMAL(18,2))"
 
 

@@ -31,6 +31,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode runs every task in the driver JVM: give it the heap
+            # a cluster would spread over executors
+            builder = builder.config("spark.driver.memory", os.environ.get("SALESCOPE_DRIVER_MEMORY", "16g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()

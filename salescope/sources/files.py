@@ -63,6 +63,17 @@ def read_order_files_checked(spark: SparkSession, path: str, *,
     return good, rejected
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split scan (few large row groups or files) over the
+    cluster before expensive per-row work. Checked at planning time from the
+    file splits; a scan that already has enough splits -- the normal case for
+    large inputs -- is returned unchanged, so no shuffle is added at scale."""
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df
+
+
 def read_positional(spark: SparkSession, path: str, names: list[str] = ORDER_COLS) -> DataFrame:
     """Header-less read renamed by position."""
     return read_order_files(spark, path, columns=names, header=False)

@@ -23,6 +23,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import ensure_parallelism
 from ..schema import DEFAULT_SNAPSHOT, MONEY_TYPE, NOT_UPDATED, HK_WAREHOUSE, RAW_ORDER_COLS
 
 # Anchor date of the week comparisons on the provided data: the last full
@@ -45,7 +46,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     way the workbooks carry them: unit price as plain text, settlement total
     with thousands separators, first-leg freight with a "not updated"
     sentinel."""
-    li = table(spark, sf_dir, "lineitem").select(
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem")).select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         "l_shipdate")
