@@ -390,7 +390,8 @@ def operator_sql() -> dict[str, str]:
     # the per-store report as a sub-select
     head, final = o.split_select(o.store_dimension_compare_sql())
     q["fan_out_summary"] = (f"WITH {head},\nrep AS ({final})\n"
-                            "SELECT store, dimension, count(*) AS \"values\", sum(growth) AS growth "
+                            "SELECT store, dimension, count(*) AS \"values\", "
+                            "CAST(sum(CAST(growth AS DECIMAL(28,2))) AS DOUBLE) AS growth "
                             "FROM rep WHERE NOT is_total GROUP BY store, dimension")
     q["partitioned_round_trip"] = o.store_dimension_compare_sql()
     cols = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in
