@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ORDER_COLS, RAW_ORDER_COLS, TARGET
+from ..session import shared_dir
 
 CORRUPT = "_corrupt_record"
 
@@ -46,8 +47,8 @@ def read_order_files_checked(spark: SparkSession, path: str, *,
     missing column) is rejected whole and reported; the rest is read.
 
     Returns (rows of good files, rejected files with their bad-line count).
-    Both are lazy; the rejected list is small (one row per bad file) and is
-    what joins back, so no file's rows pass through the driver.
+    The rejected list is small (one row per bad file) and is what joins
+    back, so no file's rows pass through the driver.
     """
     schema = T.StructType(_strings(columns).fields + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
@@ -55,6 +56,11 @@ def read_order_files_checked(spark: SparkSession, path: str, *,
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.csv(path).withColumn("source_file", F.input_file_name())
+    # Spark refuses to query the corrupt-record column of a raw scan on its
+    # own; the parse is materialised once into the shared checkpoint folder
+    # (reliable, survives executor loss) and both outputs read from there.
+    shared_dir(spark)
+    df = df.checkpoint(eager=True)
     flagged = df.withColumn("__bad", F.col(CORRUPT).isNotNull().cast("int"))
     per_file = flagged.groupBy("source_file").agg(F.sum("__bad").alias("bad_lines"))
     rejected = per_file.where(F.col("bad_lines") > 0)
