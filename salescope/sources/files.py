@@ -69,14 +69,20 @@ def read_order_files_checked(spark: SparkSession, path: str, *,
     return good, rejected
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread an under-split scan (few large row groups or files) over the
-    cluster before expensive per-row work. Checked at planning time from the
-    file splits; a scan that already has enough splits -- the normal case for
-    large inputs -- is returned unchanged, so no shuffle is added at scale."""
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
+def scan_splits(df: DataFrame) -> int:
+    """Number of input splits of a plain scan (planning only, no job)."""
+    return df._jdf.rdd().getNumPartitions()
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       splits: int | None = None) -> DataFrame:
+    """Spread an under-split input (few large row groups or files) over the
+    cluster before expensive per-row work. ``splits`` is the input's split
+    count (default: measured on ``df``, which should then be a plain scan).
+    An input that already has enough splits -- the normal case for large
+    data -- is returned unchanged, so no shuffle is added at scale."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    have = scan_splits(df) if splits is None else splits
     return df.repartition(want) if have < want else df
 
 

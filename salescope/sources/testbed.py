@@ -23,7 +23,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import ensure_parallelism
+from .files import ensure_parallelism, scan_splits
 from ..schema import DEFAULT_SNAPSHOT, MONEY_TYPE, NOT_UPDATED, HK_WAREHOUSE, RAW_ORDER_COLS
 
 # Anchor date of the week comparisons on the provided data: the last full
@@ -46,7 +46,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     way the workbooks carry them: unit price as plain text, settlement total
     with thousands separators, first-leg freight with a "not updated"
     sentinel."""
-    li = ensure_parallelism(table(spark, sf_dir, "lineitem")).select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
         "l_shipdate")
@@ -63,6 +63,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(part, li.l_partkey == part.p_partkey)
            .join(customer, orders.o_custkey == customer.c_custkey)
            .join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey))
+    # rows are spread after the joins: a filter on the order date (pushed
+    # to the orders scan) shrinks the join output first
+    j = ensure_parallelism(j, splits=scan_splits(table(spark, sf_dir, "lineitem")))
 
     price = _dec(F.col("l_extendedprice"))
     retail = _dec(F.col("p_retailprice"))
