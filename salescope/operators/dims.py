@@ -18,13 +18,21 @@ from pyspark.sql import functions as F
 DIM_BROADCAST_MAX_ROWS = 500_000
 
 
+_DECISIONS: dict[tuple[int, str, int, int], bool] = {}
+
+
 def checked_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
     """``dim`` with a broadcast hint if it has at most ``max_rows`` rows,
     else unchanged. The check is a bounded count (it stops reading after
-    ``max_rows + 1`` rows), so it stays cheap for a dimension of any size."""
+    ``max_rows + 1`` rows), so it stays cheap for a dimension of any size.
+    The outcome is remembered for the same dimension plan within a session."""
     limit = DIM_BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    n = dim.limit(limit + 1).count()
-    return F.broadcast(dim) if n <= limit else dim
+    session = dim.sparkSession
+    key = (id(session), session.sparkContext.applicationId,
+           dim._jdf.queryExecution().analyzed().semanticHash(), limit)
+    if key not in _DECISIONS:
+        _DECISIONS[key] = dim.limit(limit + 1).count() <= limit
+    return F.broadcast(dim) if _DECISIONS[key] else dim
 
 
 def _norm(c, case_insensitive: bool):

@@ -33,8 +33,17 @@ OTHER_SNAPSHOT = 20201001
 OPERATORS = 24                     # operators derived as supplier number mod 24
 
 
+_SCANS: dict[tuple[int, str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Lazy scan of one provided table. The provided tables are read-only, so
+    the scan (file listing and footer schema) is set up once per session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
 
 
 def _dec(c, scale: int = 2, precision: int = 18):
