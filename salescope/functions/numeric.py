@@ -9,7 +9,7 @@ Two conventions exist side by side and are kept apart on purpose:
   ``+inf``/``-inf`` by the sign of ``x``; ``0/0`` and missing operands become
   0; percents are the ratio x 100 with two decimals.
 
-Ratios are computed in double precision and rounded through ``decimal(28,6)``
+Ratios are computed in double precision and rounded through ``decimal(38,6)``
 so that half-up / half-even rounding acts on decimal digits, not on binary
 fractions.
 """
@@ -21,7 +21,14 @@ from pyspark.sql import functions as F
 
 from ..schema import MONEY_TYPE
 
-_DEC6 = "decimal(28,6)"
+# Doubles are rounded through this decimal. 32 integer digits hold any ratio
+# of money values (at most 1e16 / 0.01 x 100); a value beyond that (only
+# from a near-zero double denominator) becomes null instead of failing.
+_DEC6 = "decimal(38,6)"
+
+
+def _to_dec6(c: Column) -> Column:
+    return c.try_cast(_DEC6)
 
 
 def _c(c) -> Column:
@@ -39,12 +46,12 @@ def as_double(c) -> Column:
 
 def round_half_up(c, scale: int) -> Column:
     """Half-up rounding on decimal digits (``round`` in SQL)."""
-    return F.round(_c(c).cast(_DEC6), scale)
+    return F.round(_to_dec6(_c(c)), scale)
 
 
 def round_half_even(c, scale: int) -> Column:
     """Banker's rounding on decimal digits (``bround``)."""
-    return F.bround(_c(c).cast(_DEC6), scale)
+    return F.bround(_to_dec6(_c(c)), scale)
 
 
 def safe_ratio(num, den) -> Column:
@@ -80,7 +87,7 @@ def sheet_pct_text(ratio) -> Column:
     """Sheet flavour: ratio x 100 with exactly two decimals and ``%``;
     infinities print as ``inf%`` / ``-inf%``."""
     r = as_double(ratio)
-    fixed = F.round((r * 100).cast(_DEC6), 2).cast("decimal(28,2)").cast("string")
+    fixed = F.round(_to_dec6(r * 100), 2).cast("decimal(38,2)").cast("string")
     return (
         F.when(r == float("inf"), F.lit("inf%"))
         .when(r == float("-inf"), F.lit("-inf%"))

@@ -62,8 +62,18 @@ def _report_total(rows: DataFrame, key: str, with_revenue: bool) -> DataFrame:
     return tot.select(*[c.alias(n) for n, c in cols.items()]).withColumn("is_total", F.lit(True))
 
 
+_VALUES = ("target", "achieved", "revenue", "rate", "margin")
+
+
+def _typed(df: DataFrame, order: list[str], extra: tuple[str, ...] = ()) -> DataFrame:
+    """Both union branches as decimal(38,2): left to itself the union would
+    widen (28,2) and (38,1) to (38,1) and round the body rows."""
+    return df.select(*[F.col(c).cast("decimal(38,2)").alias(c) if c in _VALUES else F.col(c)
+                       for c in order], *extra)
+
+
 def _finish(rows: DataFrame, total: DataFrame, key: str, order: list[str], pct: list[str]) -> DataFrame:
-    both = append_total(rows.select(*order), total.select(*order, "is_total"))
+    both = append_total(_typed(rows, order), _typed(total, order, ("is_total",)))
     out = []
     for c in order:
         if c in pct:

@@ -174,11 +174,11 @@ def base_ctes(clean: bool = False, collected: bool = False) -> list[str]:
 
 # ------------------------------------------------------------------ helpers
 def r_up(x: str, s: int) -> str:
-    return f"round(CAST({x} AS DECIMAL(28,6)), {s})"
+    return f"round(TRY_CAST({x} AS DECIMAL(38,6)), {s})"
 
 
 def r_even(x: str, s: int) -> str:
-    return f"round_even(CAST({x} AS DECIMAL(28,6)), {s})"
+    return f"round_even(TRY_CAST({x} AS DECIMAL(38,6)), {s})"
 
 
 def safe_ratio(n: str, d: str) -> str:
@@ -200,7 +200,7 @@ def sheet_ratio(n: str, d: str) -> str:
 def sheet_pct(r: str) -> str:
     return (f"(CASE WHEN {r} = CAST('inf' AS DOUBLE) THEN 'inf%' "
             f"WHEN {r} = CAST('-inf' AS DOUBLE) THEN '-inf%' "
-            f"ELSE CAST(CAST(round(CAST({r} * 100 AS DECIMAL(28,6)), 2) AS DECIMAL(28,2)) AS VARCHAR) || '%' END)")
+            f"ELSE CAST(CAST(round(TRY_CAST({r} * 100 AS DECIMAL(38,6)), 2) AS DECIMAL(38,2)) AS VARCHAR) || '%' END)")
 
 
 def d(x: _dt.date) -> str:
@@ -230,10 +230,14 @@ rk AS (SELECT j1.*, dense_rank() OVER (ORDER BY achieved DESC NULLS LAST) AS rnk
               dense_rank() OVER (ORDER BY rate DESC NULLS LAST) AS rate_rnk {margin} FROM j1)"""
     tot_rev = ", sum(revenue) AS v" if with_rev else ""
     body_cols = [key, "target", "achieved", "rate", "rnk", "rate_rnk"] + (["revenue", "margin"] if with_rev else [])
-    tot_cols = (f"'{TOTAL_LABEL}' AS {key}, round_even(t, 1) AS target, round_even(a, 1) AS achieved, "
-                f"{r_even(safe_ratio('a', 't') + ' * 100', 1)} AS rate, rk AS rnk, 0 AS rate_rnk")
+    def d2(x):          # both union branches typed alike (scale 2)
+        return f"CAST({x} AS DECIMAL(38,2))"
+    tot_cols = (f"'{TOTAL_LABEL}' AS {key}, {d2('round_even(t, 1)')} AS target, {d2('round_even(a, 1)')} AS achieved, "
+                f"{d2(r_even(safe_ratio('a', 't') + ' * 100', 1))} AS rate, rk AS rnk, 0 AS rate_rnk")
     if with_rev:
-        tot_cols += f", round_even(v, 1) AS revenue, {r_even(safe_ratio('a', 'v') + ' * 100', 1)} AS margin"
+        tot_cols += (f", {d2('round_even(v, 1)')} AS revenue, "
+                     f"{d2(r_even(safe_ratio('a', 'v') + ' * 100', 1))} AS margin")
+    body_cols = [c if c in (key, "rnk", "rate_rnk") else f"{d2(c)} AS {c}" for c in body_cols]
     out = [f"{key}", "CAST(target AS DOUBLE) AS target", "CAST(achieved AS DOUBLE) AS achieved",
            "CAST(rate AS DOUBLE) AS rate", f"{report_pct('rate')} AS rate_pct",
            "CAST(rnk AS INTEGER) AS rank", "CAST(rate_rnk AS INTEGER) AS rate_rank"]

@@ -90,3 +90,17 @@ def test_rate_rank_on_rounded_values(spark, fn):
                                     "snapshot long, key string, target double")
     rows = [r for r in fn(fact, targets).collect() if not r.is_total]
     assert {r.rank for r in rows} == {1} and {r.rate_rank for r in rows} == {1}   # Q7: ties after rounding
+
+
+@pytest.mark.parametrize("fn", [at.platform_attainment, at.operator_attainment, at.department_attainment])
+def test_body_rows_keep_cents_next_to_scale_one_total(spark, fn):
+    key = {at.platform_attainment: "platform", at.operator_attainment: "operator",
+           at.department_attainment: "department"}[fn]
+    fact = spark.createDataFrame([("X", "1.25", "3.33", "1"), ("Y", "2.05", "4.01", "1")],
+                                 f"{key} string, profit string, revenue string, quantity string")
+    targets = spark.createDataFrame([(20201105, "X", 10.0), (20201105, "Y", 10.0)],
+                                    "snapshot long, key string, target double")
+    out = {r[key]: r for r in fn(fact, targets).collect()}
+    assert (out["X"].achieved, out["Y"].achieved, out["总计"].achieved) == (1.25, 2.05, 3.3)
+    if key != "department":
+        assert (out["X"].revenue, out["Y"].revenue) == (3.33, 4.01)
