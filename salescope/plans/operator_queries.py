@@ -313,7 +313,7 @@ def operator_sql() -> dict[str, str]:
         "clean_money": _sql(f"SELECT order_no, product, {_dbl(MONEY)} FROM (SELECT order_no, product, {rounded} FROM parsed)",
                             extra=(parsed,)),
         "iso_week": _sql("SELECT order_no, product, CAST(order_date AS VARCHAR) AS order_date, "
-                         "weekofyear(order_date) AS week FROM raw"),
+                         "CAST(weekofyear(order_date) AS INTEGER) AS week FROM raw"),
         "loss_flag": _sql("SELECT order_no, product, CAST(profit AS DOUBLE) AS profit, "
                           "CASE WHEN profit <= 0 THEN '是' WHEN profit > 0 THEN '否' END AS is_loss "
                           f"FROM (SELECT order_no, product, {rounded} FROM parsed)", extra=(parsed,)),

@@ -108,7 +108,7 @@ cm AS (
   SELECT order_date, store, COALESCE(order_no, '') AS order_no, product, product2,
          CAST(quantity AS DOUBLE) AS quantity, currency1, CAST(commission_rate AS DOUBLE) AS commission_rate,
          currency2, currency3, warehouse, upper(country) AS country, COALESCE(tracking_no, '') AS tracking_no,
-         payment_status, weekofyear(order_date) AS week,
+         payment_status, CAST(weekofyear(order_date) AS INTEGER) AS week,
          {", ".join(f"{_money_parse(c)} AS {c}" for c in MONEY)}
   FROM raw WHERE product IS NOT NULL
 ),
