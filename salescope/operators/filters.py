@@ -41,13 +41,22 @@ def period_bounds(as_of: _dt.date) -> dict[str, _dt.date]:
     }
 
 
+MONTH_COL = "order_month"
+
+
 def period_slice(df: DataFrame, as_of: _dt.date, date_col: str = "order_date") -> DataFrame:
     """Rows of the two compared periods, flagged ``is_new``. One range filter
-    over the 14 days (pushed to the scan) instead of two scans."""
+    over the 14 days (pushed to the scan) instead of two scans. On a fact
+    landed partitioned by ``order_month`` (``sinks.write_fact``) the same
+    range is also stated on the partition column, so only the one or two
+    month directories are listed and read."""
     b = period_bounds(as_of)
     d = F.col(date_col)
-    return (df.where(d.between(F.lit(b["old_start"]), F.lit(b["new_end"])))
-              .withColumn("is_new", d >= F.lit(b["new_start"])))
+    out = df.where(d.between(F.lit(b["old_start"]), F.lit(b["new_end"])))
+    if MONTH_COL in df.columns:
+        out = out.where(F.col(MONTH_COL).between(F.lit(b["old_start"].replace(day=1)),
+                                                 F.lit(b["new_end"].replace(day=1))))
+    return out.withColumn("is_new", d >= F.lit(b["new_start"]))
 
 
 def anchor_date(run_date: _dt.date) -> _dt.date:

@@ -102,6 +102,12 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     return reader.load(path)
 
 
+def read_fact(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A fact landed by ``sinks.write_fact``; ``order_month`` is a DATE
+    partition column, so period filters prune directories."""
+    return spark.read.format(fmt).option("basePath", path).load(path)
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """A typed in-memory table for caller-supplied rows."""
     return spark.createDataFrame(rows, schema)

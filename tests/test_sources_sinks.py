@@ -67,3 +67,22 @@ def test_read_target_snapshot(spark):
     assert [(r.key, float(r.target)) for r in rows] == [("A", 10.0)]
     plan = read_target(spark, d, 20201105)._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(t), EqualTo(t,20201105)]" in plan
+
+
+def test_month_partitioned_fact_prunes_periods(spark):
+    import datetime as dt
+
+    from salescope.operators.filters import period_slice
+    from salescope.sinks.files import write_fact
+    from salescope.sources.files import read_fact
+    d = os.path.join(_tmp(), "fact")
+    rows = [(dt.date(2020, m, day), f"o{m}{day}", float(m)) for m in (9, 10, 11) for day in (1, 15, 28)]
+    fact = spark.createDataFrame(rows, "order_date date, order_no string, profit double")
+    write_fact(fact, d)
+    back = read_fact(spark, d)
+    assert sorted(x for x in os.listdir(d) if x.startswith("order_month=")) == [
+        "order_month=2020-09-01", "order_month=2020-10-01", "order_month=2020-11-01"]
+    s = period_slice(back, dt.date(2020, 11, 5))
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(order_month" in plan and "order_month#" in plan
+    assert sorted(r.order_no for r in s.collect()) == ["o1028", "o111"]
