@@ -13,12 +13,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import session_key
+
 
 # Dimensions up to this many rows are broadcast (a few short columns: tens of MB).
 DIM_BROADCAST_MAX_ROWS = 500_000
 
 
-_DECISIONS: dict[tuple[int, str, int, int], bool] = {}
+_DECISIONS: dict[tuple, bool] = {}
 
 
 def checked_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -27,12 +29,16 @@ def checked_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
     ``max_rows + 1`` rows), so it stays cheap for a dimension of any size.
     The outcome is remembered for the same dimension plan within a session."""
     limit = DIM_BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    session = dim.sparkSession
-    key = (id(session), session.sparkContext.applicationId,
-           dim._jdf.queryExecution().analyzed().semanticHash(), limit)
-    if key not in _DECISIONS:
-        _DECISIONS[key] = dim.limit(limit + 1).count() <= limit
-    return F.broadcast(dim) if _DECISIONS[key] else dim
+    try:
+        key = (*session_key(dim.sparkSession), dim._jdf.queryExecution().analyzed().semanticHash(), limit)
+    except Exception:  # noqa: BLE001 -- no plan handle: measure every time
+        key = None
+    small = _DECISIONS.get(key) if key is not None else None
+    if small is None:
+        small = dim.limit(limit + 1).count() <= limit
+        if key is not None:
+            _DECISIONS[key] = small
+    return F.broadcast(dim) if small else dim
 
 
 def _norm(c, case_insensitive: bool):

@@ -42,6 +42,21 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identifies a live session (and its application) for per-session caches."""
+    try:
+        return (id(spark), spark.sparkContext.applicationId)
+    except Exception:  # noqa: BLE001 -- sessions without a local SparkContext
+        return (id(spark), None)
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.default.parallelism", "8"))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
@@ -49,7 +64,13 @@ def shared_dir(spark: SparkSession) -> str:
     object store). Only when it is unset -- local tests -- a private folder is
     created and registered, so the same code path works in both places.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- no local SparkContext: the setting must exist
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return configured.rstrip("/")
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="salescope-ckpt-")

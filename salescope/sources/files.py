@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ORDER_COLS, RAW_ORDER_COLS, TARGET
-from ..session import shared_dir
+from ..session import default_parallelism, shared_dir
 
 CORRUPT = "_corrupt_record"
 
@@ -69,9 +69,13 @@ def read_order_files_checked(spark: SparkSession, path: str, *,
     return good, rejected
 
 
-def scan_splits(df: DataFrame) -> int:
-    """Number of input splits of a plain scan (planning only, no job)."""
-    return df._jdf.rdd().getNumPartitions()
+def scan_splits(df: DataFrame) -> int | None:
+    """Number of input splits of a plain scan (planning only, no job);
+    None where the session does not expose it."""
+    try:
+        return df._jdf.rdd().getNumPartitions()
+    except Exception:  # noqa: BLE001
+        return None
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
@@ -81,9 +85,9 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
     count (default: measured on ``df``, which should then be a plain scan).
     An input that already has enough splits -- the normal case for large
     data -- is returned unchanged, so no shuffle is added at scale."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    want = min_partitions or default_parallelism(df.sparkSession)
     have = scan_splits(df) if splits is None else splits
-    return df.repartition(want) if have < want else df
+    return df.repartition(want) if have is not None and have < want else df
 
 
 def read_positional(spark: SparkSession, path: str, names: list[str] = ORDER_COLS) -> DataFrame:

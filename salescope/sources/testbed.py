@@ -23,6 +23,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import session_key
 from .files import ensure_parallelism, scan_splits
 from ..schema import DEFAULT_SNAPSHOT, MONEY_TYPE, NOT_UPDATED, HK_WAREHOUSE, RAW_ORDER_COLS
 
@@ -33,14 +34,14 @@ OTHER_SNAPSHOT = 20201001
 OPERATORS = 24                     # operators derived as supplier number mod 24
 
 
-_SCANS: dict[tuple[int, str, str], DataFrame] = {}
+_SCANS: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy scan of one provided table. The provided tables are read-only, so
     the scan (file listing and footer schema) is set up once per session."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
+    key = (*session_key(spark), path)
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]
