@@ -42,16 +42,21 @@ def read_order_files(spark: SparkSession, path: str, *, columns: list[str] = RAW
 
 def read_order_files_checked(spark: SparkSession, path: str, *,
                              columns: list[str] = RAW_ORDER_COLS,
+                             header_names: list[str] | None = None,
                              glob: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Bad-file tolerance (S2): a file with any malformed line (for example a
-    missing column) is rejected whole and reported; the rest is read.
-
-    Returns (rows of good files, rejected files with their bad-line count).
-    The rejected list is small (one row per bad file) and is what joins
-    back, so no file's rows pass through the driver.
+    """Bad-file tolerance (S2): a file that lacks a required column (its
+    header line is not ``header_names``) or has a malformed line is rejected
+    whole and reported; the other files are read.
+
+    One header-less parse does both checks: the header line arrives as a row
+    and is recognised by value, so no second pass over the files is needed.
+    Returns (rows of good files, rejected files with ``bad_lines`` and
+    ``header_lines``). The rejected list is small (one row per file) and is
+    what joins back, so no file's rows pass through the driver.
     """
+    names = header_names or columns
     schema = T.StructType(_strings(columns).fields + [T.StructField(CORRUPT, T.StringType())])
-    reader = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+    reader = (spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", True))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -61,11 +66,17 @@ def read_order_files_checked(spark: SparkSession, path: str, *,
     # (reliable, survives executor loss) and both outputs read from there.
     shared_dir(spark)
     df = df.checkpoint(eager=True)
-    flagged = df.withColumn("__bad", F.col(CORRUPT).isNotNull().cast("int"))
-    per_file = flagged.groupBy("source_file").agg(F.sum("__bad").alias("bad_lines"))
-    rejected = per_file.where(F.col("bad_lines") > 0)
-    good = (flagged.join(per_file.where(F.col("bad_lines") == 0).select("source_file"), "source_file", "left_semi")
-                   .drop("__bad", CORRUPT))
+    is_header = F.lit(True)
+    for c, n in zip(columns, names):
+        is_header = is_header & F.coalesce(F.trim(F.col(c)) == F.lit(n), F.lit(False))
+    flagged = df.withColumns({"__bad": F.col(CORRUPT).isNotNull().cast("int"),
+                              "__hdr": is_header})
+    per_file = flagged.groupBy("source_file").agg(
+        F.sum("__bad").alias("bad_lines"), F.sum(F.col("__hdr").cast("int")).alias("header_lines"))
+    ok_files = per_file.where((F.col("bad_lines") == 0) & (F.col("header_lines") >= 1))
+    rejected = per_file.where((F.col("bad_lines") > 0) | (F.col("header_lines") == 0))
+    good = (flagged.join(ok_files.select("source_file"), "source_file", "left_semi")
+                   .where(~F.col("__hdr")).drop("__bad", "__hdr", CORRUPT))
     return good, rejected
 
 

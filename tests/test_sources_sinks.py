@@ -28,11 +28,13 @@ def test_multi_file_ingest_and_bad_files(spark):
     _write(os.path.join(d, "store1.csv"), f"{header}\n{good}\n{good}\n")
     _write(os.path.join(d, "store2.csv"), f"{header}\n{good}\n")
     _write(os.path.join(d, "broken.csv"), f"{header}\n2020-11-01,,Shop-B\n")          # missing columns
+    renamed = header.replace("profit", "gross")                                       # a required column absent
+    _write(os.path.join(d, "renamed.csv"), f"{renamed}\n{good}\n")
     _write(os.path.join(d, "notes.txt"), "ignored\n")
-    assert read_order_files(spark, d, glob="*.csv").count() == 4
+    assert read_order_files(spark, d, glob="*.csv").count() == 5
     ok, rejected = read_order_files_checked(spark, d, glob="*.csv")
-    assert ok.count() == 3
-    assert [os.path.basename(r.source_file) for r in rejected.collect()] == ["broken.csv"]
+    assert ok.count() == 3 and ok.where("store = 'Shop-A'").count() == 3
+    assert sorted(os.path.basename(r.source_file) for r in rejected.collect()) == ["broken.csv", "renamed.csv"]
 
 
 def test_positional_read_keeps_header_row_until_filtered(spark):
