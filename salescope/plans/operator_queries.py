@@ -233,7 +233,33 @@ def q_partitioned_round_trip(spark, d):
     return presentable(back.select(*rep.columns))
 
 
+def q_collect_order_files(spark, d):
+    """R1 from files: raw orders as CSV files -> checked multi-file read
+    (S1, S2) -> collect (J2)."""
+    from ..sinks.files import write_csv
+    from ..sources.files import read_order_files_checked
+    from ..session import scratch_path
+    from .collect import collect_orders
+    path = scratch_path(spark, "order-files")
+    write_csv(raw(spark, d), path)
+    good, _rejected = read_order_files_checked(spark, path, glob="*.csv")
+    return collect_orders(good.drop("source_file"), tb.store_dim(spark, d))
+
+
+def q_landed_store_week_compare(spark, d):
+    """R10 on the cleaned fact landed partitioned by order month: the period
+    slice prunes to the month directories it needs."""
+    from ..sinks.files import write_fact
+    from ..sources.files import read_fact
+    from ..session import scratch_path
+    path = scratch_path(spark, "landed-fact")
+    write_fact(cleaned(spark, d), path)
+    return presentable(compare.store_week_compare(read_fact(spark, path).drop("order_month"), tb.AS_OF))
+
+
 OPERATORS = {
+    "collect_order_files": q_collect_order_files,
+    "landed_store_week_compare": q_landed_store_week_compare,
     "clean_money": q_clean_money,
     "iso_week": q_iso_week,
     "loss_flag": q_loss_flag,
@@ -401,4 +427,6 @@ def operator_sql() -> dict[str, str]:
                       "freight_last", "capital_cost", "profit", "warehouse", "country", "tracking_no",
                       "payment_status", "platform", "department", "operator"])
     q["csv_round_trip"] = _sql(f"SELECT {cols} FROM collected", collected_=True)
+    q["collect_order_files"] = q["csv_round_trip"]
+    q["landed_store_week_compare"] = o.week_compare_sql("store")
     return q
