@@ -1,14 +1,35 @@
 """Global ranks.
 
-The windows have no partition key, so Spark evaluates them in one task. They
-are only ever applied to already aggregated rows whose count is bounded by a
-dimension table (the target rows of one snapshot), never to fact rows.
+``dense_rank_desc`` / ``competition_rank_desc`` rank with an unpartitioned
+window, i.e. in one task. The reports only apply them to already aggregated
+rows whose count is bounded by a dimension table (the target rows of one
+snapshot, the operators, the departments), never to fact rows.
+
+For a key set that is not bounded that way, ``distributed_dense_rank_desc`` /
+``distributed_competition_rank_desc`` compute the same ranks without a
+single-task sort:
+
+1. one row per distinct value with its multiplicity (partial aggregation);
+2. the values cut into ordered buckets: equal-width on a signed log scale
+   (so heavy-tailed sums still spread) between the exact minimum and maximum.
+   The bucket is a pure, monotone function of the value, so equal values share
+   a bucket and a recomputation cannot move a value (min and max do not depend
+   on row order);
+3. a rank inside each bucket (a window partitioned by bucket);
+4. per-bucket offsets from a table of one row per bucket, so its running sum
+   and its broadcast are bounded by the bucket count, not the data;
+5. the rank joined back to the rows on the value (null-safe).
+
+The bounds are scalar subqueries over the input, so the input should be a
+materialised table (a ``checkpoint()`` or a written table in the shared
+folder): over a long lazy plan each subquery would recompute it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def dense_rank_desc(df: DataFrame, col: str, name: str) -> DataFrame:
@@ -20,3 +41,64 @@ def competition_rank_desc(df: DataFrame, col: str, name: str) -> DataFrame:
     """Competition ("min") rank, highest first; ties share the lowest rank
     and leave gaps (W3, W4). +inf ranks first."""
     return df.withColumn(name, F.rank().over(Window.orderBy(F.col(col).desc_nulls_last())))
+
+
+def _buckets(df: DataFrame) -> int:
+    try:
+        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    except Exception:  # noqa: BLE001
+        return 8
+
+
+def _bucket_expr(vals: DataFrame, n: int):
+    """Bucket of ``__v``, 0 for the highest values; nulls after all others."""
+    if n <= 1 or not isinstance(vals.schema["__v"].dataType, T.NumericType):
+        return F.when(F.col("__v").isNull(), F.lit(1)).otherwise(F.lit(0))
+
+    def log_scale(c):
+        d = c.cast("double")
+        return F.signum(d) * F.log1p(F.abs(d))
+
+    t = log_scale(F.col("__v"))
+    finite = F.when(~F.isnan(t) & (F.abs(t) < float("inf")), t)
+    lo = vals.select(F.min(finite)).scalar()
+    hi = vals.select(F.max(finite)).scalar()
+    width = hi - lo
+    raw = F.floor((hi - t) / width * n).cast("int")
+    inner = F.least(F.greatest(raw, F.lit(0)), F.lit(n - 1))
+    return (F.when(F.col("__v").isNull(), F.lit(n))
+             .when(F.isnan(t) | hi.isNull() | (t >= hi), F.lit(0))
+             .when(t <= lo, F.lit(n - 1))
+             .otherwise(inner))
+
+
+def _global_rank(df: DataFrame, col: str, name: str, dense: bool) -> DataFrame:
+    value = F.col(col)
+    vals = df.groupBy(value.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    vals = vals.withColumn("__b", _bucket_expr(vals, _buckets(df)))
+    local = Window.partitionBy("__b").orderBy(F.col("__v").desc_nulls_last())
+    if dense:
+        vals = vals.withColumn("__local", F.row_number().over(local) - 1)
+        per_bucket = vals.groupBy("__b").agg(F.count(F.lit(1)).alias("__size"))
+    else:
+        before = local.rowsBetween(Window.unboundedPreceding, -1)
+        vals = vals.withColumn("__local", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        per_bucket = vals.groupBy("__b").agg(F.sum("__n").alias("__size"))
+    # one row per bucket: this running sum sees at most the bucket count
+    offsets = per_bucket.select(
+        "__b",
+        F.coalesce(F.sum("__size").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("__offset"))
+    ranks = (vals.join(F.broadcast(offsets), "__b")
+                 .select("__v", (F.col("__offset") + F.col("__local") + 1).cast("int").alias(name)))
+    return df.join(ranks, value.eqNullSafe(ranks["__v"]), "left").drop("__v")
+
+
+def distributed_dense_rank_desc(df: DataFrame, col: str, name: str) -> DataFrame:
+    """``dense_rank_desc`` for unbounded key sets (materialised input)."""
+    return _global_rank(df, col, name, dense=True)
+
+
+def distributed_competition_rank_desc(df: DataFrame, col: str, name: str) -> DataFrame:
+    """``competition_rank_desc`` for unbounded key sets (materialised input)."""
+    return _global_rank(df, col, name, dense=False)
