@@ -117,13 +117,16 @@ def product_week_compare(fact: DataFrame, as_of: _dt.date) -> DataFrame:
 
 def store_dimension_week_compare(fact: DataFrame, as_of: _dt.date, *,
                                  dimensions: dict[str, str] = COMPARE_DIMENSIONS,
-                                 measures: list[str] = MEASURES) -> DataFrame:
+                                 measures: list[str] = MEASURES,
+                                 stores: DataFrame | None = None) -> DataFrame:
     """For every store and each dimension (product, brand, category), the
     store's per-value comparison with the all-store mean of the value as
     baseline (Q21), plus one total row per (store, dimension) for every store
     of the whole fact, idle ones included (Q27).
 
     Columns: store, dimension, value, the week_compare measures, is_total.
+    ``stores`` overrides where the store list comes from (e.g. when ``fact``
+    is already cut to the two periods).
     Not globally sorted: write it partitioned by store and dimension and sort
     within partitions (see ``sinks.write_partitioned``).
     """
@@ -150,7 +153,9 @@ def store_dimension_week_compare(fact: DataFrame, as_of: _dt.date, *,
 
     sum_cols = _sum_columns(measures)
     totals = sheet_total_rows(rows, "value", sum_cols, group_cols=("store", "dimension"), round_scale=2)
-    stores = fact.select(F.lower(F.col("store")).alias("store")).where(F.col("store").isNotNull()).distinct()
+    if stores is None:      # the store list comes from the whole fact (Q27)
+        stores = fact.select("store")
+    stores = stores.select(F.lower(F.col("store")).alias("store")).where(F.col("store").isNotNull()).distinct()
     grid = stores.select("store", F.explode(F.array(*[F.lit(n) for n in dimensions])).alias("dimension"))
     # every store of the whole fact gets its totals; an idle store's are 0
     totals = grid.join(totals.drop("value", "is_total"), ["store", "dimension"], "left")
@@ -160,3 +165,24 @@ def store_dimension_week_compare(fact: DataFrame, as_of: _dt.date, *,
         **{c: F.coalesce(F.col(c), F.lit(0).cast(rows.schema[c].dataType)) for c in sum_cols},
     })
     return append_total(rows, totals.select(*rows.columns))
+
+
+def week_reports(fact: DataFrame, as_of: _dt.date) -> dict[str, DataFrame]:
+    """R10, R11 and R12 for one anchor date from ONE slice of the fact.
+
+    The 14-day slice is persisted (memory, spilling to disk; recomputed from
+    lineage if an executor is lost) and all three reports read it, so the fact
+    is filtered and projected once instead of three times. Call
+    ``unpersist()`` on the returned ``"slice"`` when done.
+    """
+    from pyspark import StorageLevel
+    cols = ["order_date", "store", "product", *COMPARE_DIMENSIONS.values(), *MEASURES]
+    cols = list(dict.fromkeys(cols))
+    sliced = period_slice(fact.select(*cols), as_of).drop("is_new").persist(StorageLevel.MEMORY_AND_DISK)
+    stores = fact.select("store")
+    return {
+        "slice": sliced,
+        "store_week_compare": store_week_compare(sliced, as_of),
+        "product_week_compare": product_week_compare(sliced, as_of),
+        "store_dimension_week_compare": store_dimension_week_compare(sliced, as_of, stores=stores),
+    }

@@ -78,3 +78,18 @@ def test_store_dimension_compare(spark):
     b = body[("b", "brand", "brand-x")]
     assert float(b.avg_profit_old) == 0.0 and b.growth_rate == "0.00%"        # absent in old period
     assert float(totals[("a", "product")].growth) == 10.0
+
+
+def test_week_reports_share_one_slice(spark):
+    fact = _fact(spark)
+    out = cmp.week_reports(fact, AS_OF)
+    try:
+        for name, single in [("store_week_compare", cmp.store_week_compare(fact, AS_OF)),
+                             ("product_week_compare", cmp.product_week_compare(fact, AS_OF)),
+                             ("store_dimension_week_compare", cmp.store_dimension_week_compare(fact, AS_OF))]:
+            shared = out[name]
+            assert shared.exceptAll(single).count() == 0 and single.exceptAll(shared).count() == 0, name
+        # idle store "g" still gets its totals though it is outside the slice
+        assert out["store_dimension_week_compare"].where("store = 'g' AND is_total").count() == 3
+    finally:
+        out["slice"].unpersist()
