@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import cleaning as cl
-from ..operators.dims import attach_goods, attach_store_dim
-from ..operators.filters import drop_null_keys, period_slice, quantity_filter, target_snapshot
-from ..operators.fills import round_money
-from ..schema import DEFAULT_SNAPSHOT, MONEY
 from ..sources import testbed as tb
 from . import attainment, collect, compare, movers
 

@@ -1,6 +1,5 @@
 """Properties on the provided sf0.001 tables and on generated values."""
 
-import datetime as dt
 from decimal import Decimal
 
 from hypothesis import given, settings
