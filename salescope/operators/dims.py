@@ -16,19 +16,44 @@ from pyspark.sql import functions as F
 from ..session import session_key
 
 
-# Dimensions up to this many rows are broadcast (a few short columns: tens of MB).
+# Dimensions up to this many rows and this estimated size are broadcast.
 DIM_BROADCAST_MAX_ROWS = 500_000
+DIM_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+
+
+def _row_bytes(dim: DataFrame) -> int:
+    """Rough width of one row (strings counted at 32 bytes)."""
+    from pyspark.sql import types as T
+    width = 8
+    for f in dim.schema.fields:
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            width += 32
+        elif isinstance(t, T.DecimalType):
+            width += 16
+        elif isinstance(t, (T.BooleanType, T.ByteType)):
+            width += 1
+        elif isinstance(t, (T.IntegerType, T.DateType, T.FloatType, T.ShortType)):
+            width += 4
+        elif isinstance(t, T.NumericType) or isinstance(t, T.TimestampType):
+            width += 8
+        else:
+            width += 64
+    return width
 
 
 _DECISIONS: dict[tuple, bool] = {}
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """``dim`` with a broadcast hint if it has at most ``max_rows`` rows,
-    else unchanged. The check is a bounded count (it stops reading after
-    ``max_rows + 1`` rows), so it stays cheap for a dimension of any size.
-    The outcome is remembered for the same dimension plan within a session."""
+def checked_broadcast(dim: DataFrame, max_rows: int | None = None,
+                      max_bytes: int = DIM_BROADCAST_MAX_BYTES) -> DataFrame:
+    """``dim`` with a broadcast hint if it has at most ``max_rows`` rows and
+    about ``max_bytes`` bytes, else unchanged (the planner then shuffles).
+    The check is a bounded count (it stops reading after the bound), so it
+    stays cheap for a dimension of any size. The outcome is remembered for
+    the same dimension plan within a session."""
     limit = DIM_BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    limit = max(0, min(limit, max_bytes // _row_bytes(dim)))
     try:
         key = (*session_key(dim.sparkSession), dim._jdf.queryExecution().analyzed().semanticHash(), limit)
     except Exception:  # noqa: BLE001 -- no plan handle: measure every time

@@ -66,3 +66,24 @@ def test_collect_merge_repair(spark):
 def test_duplicate_dimension_keys_are_reported(spark):
     dim = spark.createDataFrame([("Shop-A",), ("SHOP-A",), ("b",)], "store string")
     assert [r.key for r in duplicate_keys(dim, "store").collect()] == ["shop-a"]
+
+
+def test_dimension_broadcast_only_under_the_bound(spark):
+    from pyspark.sql import functions as F
+
+    from salescope.operators.dims import checked_broadcast
+    fact = spark.range(2000).select(F.concat(F.lit("k"), (F.col("id") % 300).cast("string")).alias("k"))
+    dim = spark.range(300).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), F.lit("v").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        small = fact.join(checked_broadcast(dim, max_rows=1000), "k", "left")
+        large = fact.join(checked_broadcast(dim, max_rows=100), "k", "left")
+        p_small = small._jdf.queryExecution().executedPlan().toString()
+        p_large = large._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in p_small
+        assert "BroadcastHashJoin" not in p_large and "SortMergeJoin" in p_large
+        assert small.count() == large.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
