@@ -56,3 +56,11 @@ def test_text_helpers(spark):
                   tx.sentinel_number(df, "f", "decimal(18,2)").alias("f"),
                   tx.iso_week(df, "d").alias("w")).first()
     assert (r.a, r.b, float(r.s), r.f, r.w) == ("12", "", 1234.5, None, 53)
+
+
+def test_period_bounds_and_anchor():
+    from salescope.operators.filters import anchor_date, period_bounds
+    b = period_bounds(dt.date(2020, 11, 5))
+    assert (b["new_start"], b["new_end"]) == (dt.date(2020, 10, 30), dt.date(2020, 11, 5))
+    assert (b["old_start"], b["old_end"]) == (dt.date(2020, 10, 23), dt.date(2020, 10, 29))
+    assert anchor_date(dt.date(2020, 11, 7)) == dt.date(2020, 11, 5)
