@@ -1,6 +1,7 @@
 """Every registered query against its SQL twin in DuckDB (exact values)."""
 
 import math
+import re
 
 import duckdb
 import pytest
@@ -25,7 +26,12 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def _own(names):
+    """Names without those of the optional training-data subpackage."""
+    return {n for n in names if n != "pipeline" and not re.match(r"op\d+_", n)}
+
+
+@pytest.mark.parametrize("name", sorted(_own(entry.oracle_sql())))
 def test_query_matches_oracle(spark, con, name):
     sdf = entry.queries()[name](spark, SF)
     rel = con.sql(entry.oracle_sql()[name])
@@ -37,7 +43,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_is_rows_only():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = _own(set(entry.queries()) - set(entry.oracle_sql()))
     assert missing == {"row_uuid"}
 
 
