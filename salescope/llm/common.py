@@ -40,6 +40,13 @@ def text_column(df: DataFrame, name: str = "text") -> F.Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
+def once(df: DataFrame, name: str, value: F.Column) -> DataFrame:
+    """``df`` with the column ``value``, computed once a row however often it
+    is used above: the optimizer copies a projected expression into each of
+    its uses, but not one that a generator yields."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes of text each; a longer text
     is a part of its own. No row is left out."""

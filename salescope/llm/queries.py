@@ -7,15 +7,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import packing, quality_rules, secret_scan, token_output
+from . import decontaminate, html_extract, license_scan, packing, quality_rules, secret_scan, token_output, url_filter
 from .common import table
 from .tokens import tokenizer_path
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_output(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
@@ -41,7 +57,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict:
-    return {f.__name__: f for f in (op5_token_output, op7_quality_rules, op9_secret_scan, op10_packing)}
+    return {f.__name__: f for f in (
+        op1_html_extraction, op2_license_scan, op4_decontamination, op5_token_output, op6_url_filter, op7_quality_rules,
+        op9_secret_scan, op10_packing)}
 
 
 def all_sql() -> dict[str, str]:
