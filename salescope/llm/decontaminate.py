@@ -101,8 +101,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         found = []
         for k, (first, bits) in enumerate(BLOCKS):
             flips = [0] + [sum(1 << b for b in c) for n in range(1, RADIUS // len(BLOCKS) + 1) for c in combinations(range(bits), n)] if near else [0]
-            value = F.expr(block_value(hash_, first, bits))
-            found.append(F.array(*[F.struct(F.lit(k).alias("block"), value.bitwiseXOR(F.lit(x).cast("long")).alias("value")) for x in flips]))
+            values = ", ".join(f"{x}L" for x in flips)
+            found.append(F.expr(f"transform(array({values}), x -> named_struct('block', {k}, 'value', {block_value(hash_, first, bits)} ^ x))"))
         return F.explode(F.concat(*found))
 
     near = items.select("item_row", "item_hash", index("item_hash", True).alias("i")).select("item_row", "item_hash", "i.*")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, html_extract, license_scan, packing, quality_rules, secret_scan, token_output, url_filter
+from . import decontaminate, html_extract, license_scan, ngram_join, packing, quality_rules, secret_scan, token_output, url_filter
 from .common import table
 from .tokens import tokenizer_path
 
@@ -20,6 +20,10 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -58,7 +62,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict:
     return {f.__name__: f for f in (
-        op1_html_extraction, op2_license_scan, op4_decontamination, op5_token_output, op6_url_filter, op7_quality_rules,
+        op1_html_extraction, op2_license_scan, op3_ngram_join, op4_decontamination, op5_token_output, op6_url_filter, op7_quality_rules,
         op9_secret_scan, op10_packing)}
 
 
