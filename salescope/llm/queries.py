@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, html_extract, license_scan, ngram_join, packing, quality_rules, secret_scan, token_output, url_filter
+from . import decontaminate, html_extract, license_scan, lm_score, ngram_join, packing, quality_rules, secret_scan, token_output, url_filter
 from .common import table
 from .tokens import tokenizer_path
 
@@ -40,6 +40,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = secret_scan.Ledger(spark, scratch_path(spark, "secret-ledger"), create=True)
     found = secret_scan.secret_spans(table(spark, sf_dir, "documents"), ledger)
@@ -62,7 +66,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict:
     return {f.__name__: f for f in (
-        op1_html_extraction, op2_license_scan, op3_ngram_join, op4_decontamination, op5_token_output, op6_url_filter, op7_quality_rules,
+        op1_html_extraction, op2_license_scan, op3_ngram_join, op4_decontamination, op5_token_output, op6_url_filter, op7_quality_rules, op8_lm_score,
         op9_secret_scan, op10_packing)}
 
 
