@@ -261,5 +261,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is their component's; of rows that share
     that id one stays. Rows with a null id stay if their component has no id."""
-    kept = staged(jaccard_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct(), "join-kept")
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_id"])).drop("_id").dropDuplicates(["doc_id"])
+    found = jaccard_components(docs)
+    kept = staged(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows")), "join-kept")
+    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_id"]))
+    if not kept.filter("_rows > 1").isEmpty():
+        rows = rows.filter("_rows = 1").unionByName(rows.filter("_rows > 1").dropDuplicates(["_id"]))
+    return rows.select(*docs.columns)

@@ -65,7 +65,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict:
-    return {f.__name__: f for f in (
+    import corpus_pipeline
+    return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (
         op1_html_extraction, op2_license_scan, op3_ngram_join, op4_decontamination, op5_token_output, op6_url_filter, op7_quality_rules, op8_lm_score,
         op9_secret_scan, op10_packing)}
 
