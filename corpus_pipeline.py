@@ -9,6 +9,7 @@ last returns the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from salescope.llm import decontaminate, ngram_join, packing, quality_rules, secret_scan
 from salescope.llm.common import staged, table
@@ -34,7 +35,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; found secrets are replaced in their texts."""
     ledger = secret_scan.Ledger(spark, scratch_path(spark, "secret-ledger"), create=True)
-    return secret_scan.redact_secrets(docs, ledger)
+    clean = secret_scan.redact_secrets(docs, ledger)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else clean
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
