@@ -38,8 +38,9 @@ class Rule:
 #: the base rules, in the order that ties at one start are listed
 BASE_RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    # greedy runs of one class: a lower bound in the pattern drops the same short matches as one after it
+    Rule("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 #: further well-known credential formats
 MORE_RULES = (
@@ -111,7 +112,7 @@ def matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         rows = F.transform(sizes, lambda x, i: F.struct(
             F.lit(r.version).alias("version"), F.lit(r.kind).alias("kind"), F.lit(r.least).alias("least"), i.alias("i"),
             x["size"].alias("size"), x["value_size"].alias("value_size"), x["gap"].alias("gap")))
-        return F.when(F.array_contains("versions", F.lit(r.version)) & F.col("text").rlike(least_pattern(r)), rows)
+        return F.when(F.array_contains("versions", F.lit(r.version)) & F.col("text").rlike(r.pattern), rows)
 
     # one pass over the texts: a null array explodes to nothing
     hits = texts.select("blob", F.explode(F.flatten(F.array_compact(F.array(*[found(r) for r in rules])))).alias("x")).select("blob", "x.*")
@@ -121,11 +122,6 @@ def matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         "blob", "version", (F.col("end") - F.col("size")).alias("start"), F.lit(0).alias("ord"), "end", "kind")
 
 
-def least_pattern(r: Rule) -> str:
-    """A pattern that is found in every text where the rule finds something."""
-    return r.pattern[:-1] + "{%d,}" % r.least if r.pattern == "[0-9a-f]+" else r.pattern
-
-
 def secret_spans(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, blob, spans) of every row of ``docs``: a null text is empty,
     an empty text has no spans, repeated rows and ids are all kept, null ids
