@@ -164,7 +164,7 @@ def write_token_ids(docs: DataFrame, tokenizer: str, path: str) -> None:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     encoded.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(
         run, "part int, block long, tokens_before long, n_tokens long, doc_ids array<long>, sizes array<long>, control binary, data binary"
-    ).write.parquet(f"{path}/blocks")
+    ).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
 
 def read_token_ids(spark: SparkSession, path: str) -> DataFrame:
