@@ -40,6 +40,16 @@ def text_column(df: DataFrame, name: str = "text") -> F.Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
+#: most rows of a table that is broadcast
+BROADCAST_ROWS = 100_000
+
+
+def few(rows: DataFrame) -> DataFrame:
+    """``rows`` marked for broadcast if a count shows that they are few; beyond
+    that the join shuffles. Meant for staged tables with narrow rows."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def once(df: DataFrame, name: str, value: F.Column) -> DataFrame:
     """``df`` with the column ``value``, computed once a row however often it
     is used above: the optimizer copies a projected expression into each of

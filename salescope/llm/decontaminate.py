@@ -19,7 +19,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, once, staged, text_column
+from .common import WORD, few, once, staged, text_column
 
 #: words of a shingle, and the similarity of a hit in hundredths
 SHINGLE, THRESHOLD = 5, 80
@@ -27,8 +27,6 @@ SHINGLE, THRESHOLD = 5, 80
 RADIUS = 17
 #: (first bit, bits) of the blocks; RADIUS // len(BLOCKS) bits may differ in one
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
-#: most rows of a benchmark table that is broadcast
-BROADCAST_ROWS = 500_000
 
 
 def shingles(words: str) -> F.Column:
@@ -58,11 +56,6 @@ def _words(text: F.Column) -> F.Column:
     return F.regexp_extract_all(F.lower(text), F.lit(WORD), F.lit(0))
 
 
-def _small(rows: DataFrame) -> DataFrame:
-    """``rows`` marked for broadcast if a count shows that they are few."""
-    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
-
-
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, text_hash, start, n_words, shared, total) of every
     window of ``docs`` (doc_id, text) at or over the threshold with an item of
@@ -80,7 +73,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     anchors = items.select(F.posexplode("item").alias("at", "shingle"), "n_words").distinct()
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_column(docs).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     read = once(once(rows, "words", _words(F.col("text"))), "sh", shingles("words"))
-    aligned = read.select("doc_id", "text_hash", F.size("sh").alias("n"), F.posexplode("sh").alias("pos", "shingle")).join(_small(staged(anchors, "leak-anchors")), "shingle")
+    aligned = read.select("doc_id", "text_hash", F.size("sh").alias("n"), F.posexplode("sh").alias("pos", "shingle")).join(few(staged(anchors, "leak-anchors")), "shingle")
     # the window's shingles [start, stop), cut to the document
     size = F.greatest(F.col("n_words") - (SHINGLE - 1), F.lit(1))
     start = F.col("pos") - F.col("at")
@@ -88,7 +81,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "text_hash", F.greatest(start, F.lit(0)).alias("start"), F.least(start + size, F.col("n")).alias("stop")).distinct(), "leak-windows")
     at = windows.select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), "start", "stop").groupBy("at_id", "at_hash").agg(
         F.collect_list(F.struct("start", "stop")).alias("windows"))
-    again = rows.join(at, F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash")))
+    again = rows.join(few(staged(at, "leak-texts")), F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash")))
     cut = once(once(again, "words", _words(F.col("text"))), "sh", shingles("words")) \
         .select("doc_id", "text_hash", F.size("words").alias("n_words"), "sh", "windows").dropDuplicates(["doc_id", "text_hash"]) \
         .select("doc_id", "text_hash", "n_words", "sh", F.explode("windows").alias("w")) \
@@ -106,10 +99,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return F.explode(F.concat(*found))
 
     near = items.select("item_row", "item_hash", index("item_hash", True).alias("i")).select("item_row", "item_hash", "i.*")
-    found = seen.select("row", "hash", index("hash", False).alias("i")).select("row", "hash", "i.*").join(_small(staged(near, "leak-index")), ["block", "value"]) \
+    found = seen.select("row", "hash", index("hash", False).alias("i")).select("row", "hash", "i.*").join(few(staged(near, "leak-index")), ["block", "value"]) \
         .filter(F.bit_count(F.col("hash").bitwiseXOR(F.col("item_hash"))) <= RADIUS).select("row", "item_row").distinct()
     shared = shared_weight("window", "item")
-    checked = once(found.join(seen, "row").join(_small(items.select("item_row", "item_id", "item")), "item_row"), "shared", shared) \
+    checked = once(found.join(seen, "row").join(few(items.select("item_row", "item_id", "item")), "item_row"), "shared", shared) \
         .withColumn("total", F.size("window") + F.size("item") - F.col("shared"))
     return checked.filter(f"100 * shared >= {THRESHOLD} * total").select("doc_id", "item_id", "text_hash", "start", "n_words", "shared", "total")
 
@@ -125,4 +118,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` without a window that leaks, all columns as they are."""
     leaks = staged(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "leak-rows")
     key = docs["doc_id"].cast("long").eqNullSafe(leaks["_id"]) & (F.xxhash64(text_column(docs)) == leaks["_hash"])
-    return docs.join(leaks, key, "left_anti")
+    return docs.join(few(leaks), key, "left_anti")

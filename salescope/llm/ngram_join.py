@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, mix, signed, slices, staged, text_column
+from .common import Words, few, mix, signed, slices, staged, text_column
 from .components import components
 
 #: words of a shingle, and the threshold in hundredths
@@ -58,6 +58,18 @@ def prefix_size(n):
     return n - -(-THRESHOLD * n // 100) + 1
 
 
+def can_link(shared: str) -> F.Column:
+    """Whether sets of na and nb shingles that share so many of their prefixes
+    can be linked: of the one whose prefix ends first, every shingle they share
+    lies in both prefixes or behind its own."""
+    behind = F.greatest(F.col("na") - prefix_column("na"), F.col("nb") - prefix_column("nb"))
+    return (100 + THRESHOLD) * (F.col(shared) + behind) >= THRESHOLD * (F.col("na") + F.col("nb"))
+
+
+def prefix_column(n: str) -> F.Column:
+    return F.col(n) - F.ceil(THRESHOLD * F.col(n) / 100) + 1
+
+
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, row offsets): the distinct shingles of each text, ascending."""
     w = Words(texts, lower=True)
@@ -133,9 +145,11 @@ def _read(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
                 small = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(np.where(tiny, n, 0))]), pa.int32()), pa.array(signed(grams[np.repeat(tiny, n)])))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(signed(node)), prefix, small], ["doc_id", "n_shingles", "node", "prefix", "small"])
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(n, pa.int64()), pa.array(signed(node)), prefix, small],
+                    ["doc_id", "text_hash", "n_shingles", "node", "prefix", "small"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, node long, prefix array<long>, small array<long>")
+    return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, node long, prefix array<long>, small array<long>")
 
 
 def boundary(sizes: dict[int, int]) -> int:
@@ -183,7 +197,7 @@ def _checked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     member = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("node"))
     leader = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("a").alias("node"))
     asked = staged(member.unionByName(leader).join(nodes.select("node", F.col("doc_id").alias("at")), "node"), "join-asked")
-    texts = docs.join(asked, docs["doc_id"].eqNullSafe(asked["at"])).select("a", "salt", "role", "node", "text")
+    texts = docs.join(few(asked), docs["doc_id"].eqNullSafe(asked["at"])).select("a", "salt", "role", "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, None
@@ -211,7 +225,13 @@ def _checked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
+    """(doc_id, n_shingles, component_id) of every row of ``docs``: see ``_components``."""
+    return _components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def _components(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, component_id) of every row of ``docs``
+    (doc_id, text).
 
     A null or empty text, or one of separators only, has no shingles and is
     linked with nothing: its component is its own id. Copies and repeated rows
@@ -229,23 +249,29 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = staged(_subset_links(small, most), "join-links")
 
     # lists: of sets over the boundary, and of those small ones that can link to such a set
-    listed = full.filter(F.col("n_shingles") >= least_size(most + 1)).select("node", F.col("n_shingles").alias("n"), F.explode("prefix").alias("shingle"))
-    leader = F.min("node").over(Window.partitionBy("shingle"))
-    entries = staged(listed.withColumn("leader", leader).filter("node <> leader").distinct(), "join-entries")
-    stars = entries.groupBy(F.col("leader").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"))
+    listed = full.filter(F.col("n_shingles") >= least_size(most + 1)).select("node", F.col("n_shingles").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "shingle"))
+    of_list = Window.partitionBy("shingle")
+    entries = staged(listed.withColumn("low", F.min("node").over(of_list)).withColumn("high", F.max("node").over(of_list)).filter("low < high")
+                     .select("shingle", "node", "n", "pos").distinct(), "join-entries")
+    # the member that shares most leads a list: of near copies that is their original
+    weight = staged(entries.withColumn("others", F.count("*").over(of_list)).groupBy("node").agg(F.sum("others").alias("weight")), "join-weights")
+    leads = staged(entries.join(weight, "node").groupBy("shingle").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))
+                   .select("shingle", F.col("lead.node").alias("a"), F.col("lead.n").alias("na")), "join-leads")
+    stars = entries.join(leads, "shingle").filter("node <> a").groupBy("a", F.col("node").alias("b")).agg(
+        F.count("*").alias("shared"), F.first("na").alias("na"), F.first("n").alias("nb")).filter(can_link("shared"))
     first = staged(stars.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select("best.a", "b"), "join-first")
     links = staged(links.unionByName(_checked(first, nodes, docs)), "join-links")
     roots = staged(components(links), "join-roots")
 
     # what the stars leave: pairs of a list that are in different components and unchecked
-    members = entries.select("shingle", "node").unionByName(entries.select("shingle", F.col("leader").alias("node"))).distinct()
-    placed = staged(members.join(roots, "node", "left").join(nodes.select("node", "n"), "node").select(
-        "shingle", "node", "n", F.coalesce("root", "node").alias("root")), "join-members")
+    placed = staged(entries.join(roots, "node", "left").select("shingle", "node", "n", "pos", F.coalesce("root", "node").alias("root")), "join-members")
     split = staged(placed.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("shingle"), "join-split")
     left = placed.join(split, "shingle")
-    x, y = left.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra")), left.select(
-        "shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    x = left.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("pos").alias("pa"), F.col("root").alias("ra"))
+    y = left.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("pb"), F.col("root").alias("rb"))
     fits = (F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & (100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb"))
+    # entries that agree only late in both lists leave too little to share
+    fits &= (100 + THRESHOLD) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) >= THRESHOLD * (F.col("na") + F.col("nb"))
     rest = staged(x.join(y, "shingle").filter(fits).select("a", "b").distinct().join(
         first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "join-rest")
     more = staged(_checked(rest, nodes, docs), "join-more")
@@ -254,16 +280,23 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     named = nodes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_node = staged(named.select("node", "root").join(staged(least, "join-least"), "root").select("node", "component_id"), "join-components")
-    return full.select("doc_id", "n_shingles", "node").join(of_node, "node").select("doc_id", "n_shingles", "component_id").unionByName(
-        sets.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return full.select("doc_id", "text_hash", "n_shingles", "node").join(of_node, "node").drop("node").unionByName(
+        sets.filter("n_shingles = 0").select("doc_id", "text_hash", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; of rows that share
-    that id one stays. Rows with a null id stay if their component has no id."""
-    found = jaccard_components(docs)
-    kept = staged(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows")), "join-kept")
-    rows = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["_id"]))
-    if not kept.filter("_rows > 1").isEmpty():
-        rows = rows.filter("_rows = 1").unionByName(rows.filter("_rows > 1").dropDuplicates(["_id"]))
+    """One row of each component of ``docs``: that of the component's id, or
+    where rows share that id, of the least text hash. Texts without shingles
+    are groups by their ids; a component without an id keeps a row likewise."""
+    found = staged(_components(docs), "join-found")
+    group = ["component_id", F.col("n_shingles") == 0]
+    kept = staged(found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(*group).agg(F.min("text_hash").alias("_hash"))
+                  .select(F.col("component_id").alias("_id"), "_hash").distinct(), "join-kept")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    gone = staged(found.join(kept, same, "left_anti").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "join-gone")
+    hashed = F.xxhash64(text_column(docs))
+    rows = docs.join(few(gone), docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (hashed == gone["_hash"]), "left_anti")
+    again = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows")).filter("rows > 1")
+    if not again.isEmpty():                     # rows that repeat id and text
+        rows = rows.withColumn("_hash", hashed).dropDuplicates(["doc_id", "_hash"])
     return rows.select(*docs.columns)
