@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import session_key
 
 
 # Dimensions up to this many rows and this estimated size are broadcast.
@@ -42,27 +41,16 @@ def _row_bytes(dim: DataFrame) -> int:
     return width
 
 
-_DECISIONS: dict[tuple, bool] = {}
-
-
 def checked_broadcast(dim: DataFrame, max_rows: int | None = None,
                       max_bytes: int = DIM_BROADCAST_MAX_BYTES) -> DataFrame:
     """``dim`` with a broadcast hint if it has at most ``max_rows`` rows and
     about ``max_bytes`` bytes, else unchanged (the planner then shuffles).
     The check is a bounded count (it stops reading after the bound), so it
-    stays cheap for a dimension of any size. The outcome is remembered for
-    the same dimension plan within a session."""
+    stays cheap for a dimension of any size, and it is made each time: a
+    dimension that has grown since is not broadcast on an old count."""
     limit = DIM_BROADCAST_MAX_ROWS if max_rows is None else max_rows
     limit = max(0, min(limit, max_bytes // _row_bytes(dim)))
-    try:
-        key = (*session_key(dim.sparkSession), dim._jdf.queryExecution().analyzed().semanticHash(), limit)
-    except Exception:  # noqa: BLE001 -- no plan handle: measure every time
-        key = None
-    small = _DECISIONS.get(key) if key is not None else None
-    if small is None:
-        small = dim.limit(limit + 1).count() <= limit
-        if key is not None:
-            _DECISIONS[key] = small
+    small = dim.limit(limit + 1).count() <= limit
     return F.broadcast(dim) if small else dim
 
 

@@ -20,21 +20,26 @@ from ..operators.ranking import competition_rank_desc, dense_rank_desc
 from ..operators.totals import append_total
 from ..schema import DEFAULT_SNAPSHOT, TOTAL_LABEL, ZERO_TARGET_RATE_FILL
 
+#: amounts as they are summed: 20 integer digits, 8 decimals
+SUMMED_TYPE = "decimal(28,8)"
+
 
 def _report_sums(fact: DataFrame, key: str, *, with_revenue: bool,
                  nonnegative_only: bool = False) -> DataFrame:
     """Profit (and revenue) per key over rows with a profit and quantity >= 1
-    (P13, P7, P14). Sums are exact decimals, rounded half-even to 2 (F9)."""
+    (P13, P7, P14). Amounts are summed as they are, as exact decimals, and the
+    sums rounded half-even to 2 once (F9)."""
     base = quantity_filter(fact.where(F.col("profit").isNotNull()))
-    aggs = [F.sum(F.coalesce(fn.money("profit"), F.lit(0))).alias("__profit")]
+    amount = lambda c: F.sum(F.coalesce(F.col(c).try_cast(SUMMED_TYPE), F.lit(0))).cast("decimal(38,8)")
+    aggs = [amount("profit").alias("__profit")]
     if with_revenue:
-        aggs.append(F.sum(F.coalesce(fn.money("revenue"), F.lit(0))).alias("__revenue"))
+        aggs.append(amount("revenue").alias("__revenue"))
     sums = base.groupBy(F.col(key)).agg(*aggs)
     if nonnegative_only:                                     # P8 (HAVING), R6 only
         sums = sums.where(F.col("__profit") >= 0)
-    cols = [F.col(key), F.bround("__profit", 2).alias("achieved")]
+    cols = [F.col(key), F.bround("__profit", 2).cast("decimal(28,2)").alias("achieved")]
     if with_revenue:
-        cols.append(F.bround("__revenue", 2).alias("revenue"))
+        cols.append(F.bround("__revenue", 2).cast("decimal(28,2)").alias("revenue"))
     return sums.select(*cols)
 
 

@@ -49,7 +49,7 @@ def write_fact(df: DataFrame, path: str, *, date_col: str = "order_date", mode:
     many tasks instead of landing in one."""
     from pyspark.sql import functions as F
     out = df.withColumn("order_month", F.trunc(F.col(date_col), "month"))
-    (out.repartitionByRange(date_col, "order_no").sortWithinPartitions(date_col)
+    (out.repartitionByRange(date_col, "order_no").sortWithinPartitions("order_month", date_col)
         .write.mode(mode).format(fmt).partitionBy("order_month").save(path))
 
 

@@ -22,21 +22,23 @@ def _strings(cols: list[str]) -> T.StructType:
 
 
 def read_order_files(spark: SparkSession, path: str, *, columns: list[str] = RAW_ORDER_COLS,
-                     header: bool = True, glob: str | None = None, fmt: str = "csv",
-                     with_source: bool = False) -> DataFrame:
+                     header: bool = True, header_names: list[str] | None = None, glob: str | None = None,
+                     fmt: str = "csv", with_source: bool = False) -> DataFrame:
     """Every cell as text under fixed column names.
 
     ``header=True``: the first line of each file is a header (S1, S4, S12).
     ``header=False``: positional names (S3); a header line then arrives as a
     data row and is removed by a later numeric filter (P7).
-    Unreadable files are skipped (``ignoreCorruptFiles``).
+    ``header_names`` are the files' own labels of ``columns``. A file whose
+    header differs from them fails the read by name instead of putting values
+    into other columns, and so does a damaged file.
     """
-    reader = (spark.read.format(fmt).schema(_strings(columns))
-              .option("header", header).option("ignoreCorruptFiles", True)
-              .option("encoding", "UTF-8"))
+    names = (header_names or columns) if header else columns
+    reader = (spark.read.format(fmt).schema(_strings(names)).option("header", header)
+              .option("enforceSchema", not header).option("encoding", "UTF-8"))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(path)
+    df = reader.load(path).toDF(*columns)
     return df.withColumn("source_file", F.input_file_name()) if with_source else df
 
 
@@ -46,7 +48,8 @@ def read_order_files_checked(spark: SparkSession, path: str, *,
                              glob: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Bad-file tolerance (S2): a file that lacks a required column (its
     header line is not ``header_names``) or has a malformed line is rejected
-    whole and reported; the other files are read.
+    whole and reported; the other files are read. A damaged file (one that
+    cannot be decompressed to its end) fails the run by name.
 
     One header-less parse does both checks: the header line arrives as a row
     and is recognised by value, so no second pass over the files is needed.
@@ -57,7 +60,7 @@ def read_order_files_checked(spark: SparkSession, path: str, *,
     names = header_names or columns
     schema = T.StructType(_strings(columns).fields + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT).option("ignoreCorruptFiles", True))
+              .option("columnNameOfCorruptRecord", CORRUPT))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     df = reader.csv(path).withColumn("source_file", F.input_file_name())

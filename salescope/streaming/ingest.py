@@ -15,12 +15,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.collect import collect_orders
 from ..schema import RAW_ORDERS_STRING
-from ..session import scratch_path
 
 
 def order_file_stream(spark: SparkSession, source_dir: str, *, glob: str = "*.csv",
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = (spark.readStream.schema(RAW_ORDERS_STRING).option("header", True)
+    reader = (spark.readStream.schema(RAW_ORDERS_STRING).option("header", True).option("enforceSchema", False)
               .option("pathGlobFilter", glob).option("encoding", "UTF-8"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -33,14 +32,14 @@ def ingest_order_files(spark: SparkSession, source_dir: str, store_dim: DataFram
                        partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Start the ingest; returns the running query (``awaitTermination`` it).
 
-    ``checkpoint_dir`` defaults to a path under the cluster's shared
-    checkpoint folder; pass a stable one to resume an existing ingest.
+    ``checkpoint_dir`` defaults to a folder inside the target, which readers
+    of the target skip: a later call on the same target resumes the ingest.
     """
     fact = collect_orders(order_file_stream(spark, source_dir, glob=glob,
                                             max_files_per_trigger=max_files_per_trigger), store_dim)
     writer = (fact.writeStream.format("parquet").outputMode("append")
               .option("path", target_dir)
-              .option("checkpointLocation", checkpoint_dir or scratch_path(spark, "ingest-checkpoint")))
+              .option("checkpointLocation", checkpoint_dir or f"{target_dir.rstrip('/')}/_ingest_checkpoint"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

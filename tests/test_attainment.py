@@ -104,3 +104,12 @@ def test_body_rows_keep_cents_next_to_scale_one_total(spark, fn):
     assert (out["X"].achieved, out["Y"].achieved, out["总计"].achieved) == (1.25, 2.05, 3.3)
     if key != "department":
         assert (out["X"].revenue, out["Y"].revenue) == (3.33, 4.01)
+
+
+def test_sums_are_rounded_once(spark):
+    from decimal import Decimal
+    from salescope.plans.attainment import _report_sums
+    rows = [("s", "1", "0.004", "0.0049")] * 1000
+    fact = spark.createDataFrame(rows, "store string, quantity string, profit string, revenue string")
+    row = _report_sums(fact, "store", with_revenue=True).first()
+    assert (row["achieved"], row["revenue"]) == (Decimal("4.00"), Decimal("4.90"))

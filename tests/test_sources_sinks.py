@@ -4,6 +4,7 @@ partitioned fan-out, target snapshot read."""
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from salescope.schema import ORDER_COLS, RAW_ORDER_COLS
@@ -88,3 +89,36 @@ def test_month_partitioned_fact_prunes_periods(spark):
     plan = s._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(order_month" in plan and "order_month#" in plan
     assert sorted(r.order_no for r in s.collect()) == ["o1028", "o111"]
+
+
+def test_damaged_or_misnamed_files_fail_by_name(spark, tmp_path):
+    import gzip
+    from salescope.sources.files import read_order_files
+    rows = "a,b\n" + "\n".join(f"{i},{i * 7919 % 1009}" for i in range(20000)) + "\n"
+    packed = gzip.compress(rows.encode())
+    (tmp_path / "cut.csv.gz").write_bytes(packed[:len(packed) // 2])
+    with pytest.raises(Exception, match="cut.csv.gz"):
+        read_order_files(spark, str(tmp_path), columns=["a", "b"]).collect()
+    other = tmp_path / "other"
+    other.mkdir()
+    (other / "x.csv").write_text("b,a\n1,2\n")
+    with pytest.raises(Exception, match="x.csv"):
+        read_order_files(spark, str(other), columns=["a", "b"]).collect()
+    got = read_order_files(spark, str(other), columns=["first", "second"], header_names=["b", "a"]).collect()
+    assert [tuple(r) for r in got] == [("1", "2")]
+
+
+def test_landed_fact_is_in_date_order(spark, tmp_path):
+    import datetime
+    import glob
+
+    import pyarrow.parquet as pq
+    from salescope.sinks.files import write_fact
+    day = datetime.date(2020, 1, 1)
+    rows = [(day + datetime.timedelta(days=i * 37 % 90), str(i)) for i in range(500)]
+    write_fact(spark.createDataFrame(rows, "order_date date, order_no string"), str(tmp_path / "fact"))
+    files = glob.glob(f"{tmp_path}/fact/order_month=*/*.parquet")
+    assert files
+    for f in files:
+        days = pq.ParquetFile(f).read()["order_date"].to_pylist()
+        assert days == sorted(days)

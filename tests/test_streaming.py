@@ -27,3 +27,13 @@ def test_ingest_is_incremental(spark):
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 3
     assert sorted((r.store, r.department) for r in rows) == [("shop-a", "d1"), ("shop-a", "d1"), ("shop-b", None)]
+
+
+def test_ingest_resumes_without_a_named_checkpoint(spark, tmp_path):
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    os.makedirs(src)
+    dim = spark.createDataFrame([("a", "d", "p", "o")], "store string, department string, platform string, operator string")
+    for name, stores in (("a.csv", ["a"]), ("b.csv", ["a", "b"])):
+        _file(src, name, stores)
+        ingest_order_files(spark, src, dim, out).awaitTermination(120)
+    assert spark.read.parquet(out).count() == 3
