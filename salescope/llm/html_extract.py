@@ -242,9 +242,21 @@ def unique_text(blocks: list[str], opens: list[bool], covered: list[int] | None)
     for at in covered or ():
         mark[at:at + MIN_RUN] = True
     starts = np.cumsum([0, *map(len, words)])
-    open_ = [(w, mark[s:s + len(w)]) for w, s, o in zip(words, starts, opens) if o]
+    open_ = [(w, _whole_runs(mark[s:s + len(w)])) for w, s, o in zip(words, starts, opens) if o]
     total, hit = sum(len(w) for w, _ in open_), sum(int(m.sum()) for _, m in open_)
     if hit > COPY_SHARE * total:
         open_ = [(w, np.zeros(len(w), bool)) for w, _ in open_]
     kept = (" ".join(x for x, m in zip(w, marks) if not m) for w, marks in open_)
     return " ".join(t for t in kept if t)
+
+
+def _whole_runs(mark: np.ndarray) -> np.ndarray:
+    """The marks of a block without stretches shorter than a run, which only
+    end a run of the next block; a block that is covered whole stays so."""
+    if mark.all():
+        return mark
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], mark.astype(np.int8), [0]])))
+    out = np.zeros(len(mark), bool)
+    for a, b in zip(edge[::2], edge[1::2]):
+        out[a:b] = b - a >= MIN_RUN
+    return out
