@@ -12,8 +12,9 @@ that a passage in a third of all documents is not what lists are made of.
 Exact copies are one node by the fingerprint of their sets. Links are sought
 to find components, so a list first links each member to the list's least
 node; the pairs left are those between different components, and all of them
-are checked. A pair is checked on the whole sets, computed from the texts
-again where the pair's leader is; leaders with many partners are salted.
+are checked, first on bitmaps of the sets, whose distance is a lower bound of
+what the sets differ in, then on the whole sets, computed from the texts again
+where the pair's leader is; leaders with many partners are salted.
 """
 
 from __future__ import annotations
@@ -103,6 +104,30 @@ def fingerprints(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def bitmaps(grams: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A bitmap of each set: a power of two of bits, at least 64 and twice the
+    set's size, each the parity of the shingles whose hash falls on it; empty
+    for the empty set."""
+    n = np.diff(at)
+    bits = np.where(n > 0, 1 << np.ceil(np.log2(np.maximum(2 * n, 64))).astype(np.int64), 0)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    spot = np.sort(np.repeat(first[:-1], n) + (grams & np.repeat(bits - 1, n).astype(np.uint64)).astype(np.int64))
+    edge = np.flatnonzero(np.concatenate([[True], spot[1:] != spot[:-1]])) if len(spot) else np.zeros(0, np.int64)
+    flags = np.zeros(int(first[-1]), np.uint8)
+    flags[spot[edge]] = np.diff(np.append(edge, len(spot))) & 1
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer((first // 8).astype(np.int32)), pa.py_buffer(np.packbits(flags))])
+
+
+def bits_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """Bits in which two bitmaps differ, the longer one folded to the shorter:
+    at most the shingles that are in one of the two sets only."""
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def _heavy(docs: DataFrame) -> np.ndarray:
     """Shingles of many documents, ascending: at most HEAVY_MOST."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,8 +145,9 @@ def _heavy(docs: DataFrame) -> np.ndarray:
 
 
 def _read(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """(doc_id, n_shingles, node, prefix, small) of every document: ``prefix``
-    for the lists, ``small`` the whole set of a set that may count as small."""
+    """(doc_id, text_hash, n_shingles, node, prefix, small, bitmap) of every
+    document: ``prefix`` for the lists, ``small`` the whole set of a set that
+    may count as small."""
     shared = docs.sparkSession.sparkContext.broadcast(heavy)        # at most HEAVY_MOST hashes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,11 +171,11 @@ def _read(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
                 small = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.cumsum(np.where(tiny, n, 0))]), pa.int32()), pa.array(signed(grams[np.repeat(tiny, n)])))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("text_hash"), pa.array(n, pa.int64()), pa.array(signed(node)), prefix, small],
-                    ["doc_id", "text_hash", "n_shingles", "node", "prefix", "small"])
+                    [part.column("doc_id"), part.column("text_hash"), pa.array(n, pa.int64()), pa.array(signed(node)), prefix, small, bitmaps(grams, at)],
+                    ["doc_id", "text_hash", "n_shingles", "node", "prefix", "small", "bitmap"])
 
     return docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        run, "doc_id long, text_hash long, n_shingles long, node long, prefix array<long>, small array<long>")
+        run, "doc_id long, text_hash long, n_shingles long, node long, prefix array<long>, small array<long>, bitmap binary")
 
 
 def boundary(sizes: dict[int, int]) -> int:
@@ -190,14 +216,45 @@ def _subset_links(sets: DataFrame, most: int) -> DataFrame:
     return member.join(least, "subset").select(F.col("node").alias("u"), F.when(F.col("big"), F.col("of_little")).otherwise(F.col("of_big")).alias("v")).filter("u <> v").distinct()
 
 
-def _checked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are at the threshold."""
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
-    salts = staged(salts, "join-salts")
+def _asked(pairs: DataFrame) -> DataFrame:
+    """(a, salt, role, node): the partners (role 1) of each leader a of the
+    pairs (a, b), salted, and the leader itself (role 0) once a salt."""
+    salts = staged(pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts")), "join-salts")
     member = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), "salts").cast("int").alias("salt"), F.lit(1).alias("role"), F.col("b").alias("node"))
     leader = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("a").alias("node"))
-    asked = staged(member.unionByName(leader).join(nodes.select("node", F.col("doc_id").alias("at")), "node"), "join-asked")
-    texts = docs.join(few(asked), docs["doc_id"].eqNullSafe(asked["at"])).select("a", "salt", "role", "node", "text")
+    return member.unionByName(leader)
+
+
+def _led(rows: DataFrame) -> DataFrame:
+    """Each leader's rows of a salt in one task, the leader first."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", "role")
+
+
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose bitmaps leave a link possible."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, size = None, None, 0
+        for batch in batches:
+            out: tuple[list, list] = ([], [])
+            for a, salt, role, node, n, bitmap in zip(*(batch.column(c) for c in ("a", "salt", "role", "node", "n", "bitmap"))):
+                now, n = (a.as_py(), salt.as_py()), n.as_py()
+                mine = np.frombuffer(bitmap.as_buffer(), np.uint8)
+                if role.as_py() == 0:
+                    key, held, size = now, mine.copy(), n
+                elif key == now and bits_apart(held, mine) <= size + n - 2 * needed(size, n):
+                    out[0].append(now[0])
+                    out[1].append(node.as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["a", "b"])
+
+    rows = _asked(pairs).join(nodes.select("node", "n", "bitmap"), "node").select("a", "salt", "role", "node", "n", "bitmap")
+    return _led(rows).mapInArrow(run, "a long, b long")
+
+
+def _checked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets are at the threshold."""
+    asked = _asked(staged(_likely(pairs, nodes), "join-likely")).join(nodes.select("node", F.col("doc_id").alias("at")), "node")
+    texts = docs.join(few(staged(asked, "join-asked")), docs["doc_id"].eqNullSafe(F.col("at"))).select("a", "salt", "role", "node", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, None
@@ -220,8 +277,7 @@ def _checked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
                             out[1].append(node)
                 yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], ["u", "v"])
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return texts.repartition(parts, "a", "salt").sortWithinPartitions("a", "salt", "role").mapInArrow(run, "u long, v long").distinct()
+    return _led(texts).mapInArrow(run, "u long, v long").distinct()
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -242,17 +298,19 @@ def _components(docs: DataFrame) -> DataFrame:
     docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_column(docs).alias("text"))
     sets = staged(_read(docs, _heavy(docs)), "join-sets")
     full = sets.filter("n_shingles > 0")
-    nodes = staged(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n")), "join-nodes")
+    # copies are one node from here on, already before the shuffle where a task has several
+    nodes = staged(full.groupBy("node").agg(F.min("doc_id").alias("doc_id"), *(F.first(c).alias(c) for c in ("n_shingles", "prefix", "small", "bitmap")))
+                   .withColumnRenamed("n_shingles", "n"), "join-nodes")
     sizes = {r["n"]: r["count"] for r in nodes.filter(F.col("n") <= SMALL_MOST).groupBy("n").count().collect()}
     most = boundary(sizes)
-    small = full.filter(F.col("n_shingles") <= most).select("node", "small").dropDuplicates(["node"])
+    small = nodes.filter(F.col("n") <= most).select("node", "small")
     links = staged(_subset_links(small, most), "join-links")
 
     # lists: of sets over the boundary, and of those small ones that can link to such a set
-    listed = full.filter(F.col("n_shingles") >= least_size(most + 1)).select("node", F.col("n_shingles").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "shingle"))
+    listed = nodes.filter(F.col("n") >= least_size(most + 1)).select("node", F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("pos", "shingle"))
     of_list = Window.partitionBy("shingle")
     entries = staged(listed.withColumn("low", F.min("node").over(of_list)).withColumn("high", F.max("node").over(of_list)).filter("low < high")
-                     .select("shingle", "node", "n", "pos").distinct(), "join-entries")
+                     .select("shingle", "node", "n", "pos"), "join-entries")
     # the member that shares most leads a list: of near copies that is their original
     weight = staged(entries.withColumn("others", F.count("*").over(of_list)).groupBy("node").agg(F.sum("others").alias("weight")), "join-weights")
     leads = staged(entries.join(weight, "node").groupBy("shingle").agg(F.max(F.struct("weight", "node", "n")).alias("lead"))

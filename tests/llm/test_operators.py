@@ -307,3 +307,17 @@ def test_lm_gradient_lowers_loss_and_state_is_carried():
         total += float(net.class_logs(h, classes[[w]])[0]) / math.log(10)
         last = w
     assert after[2] == pytest.approx(total, rel=1e-5)
+
+
+def test_bitmaps_are_a_lower_bound():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 3000).astype(np.uint64)
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in (1, 5, 31, 33, 200, 257, 900)] + [np.zeros(0, np.uint64)]
+    at = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    maps = [np.frombuffer(x.as_buffer(), np.uint8) for x in ngram_join.bitmaps(np.concatenate(sets), at)]
+    assert len(maps[-1]) == 0 and all(8 * len(m) >= 2 * len(x) for m, x in zip(maps, sets))
+    for m, x in zip(maps[:-1], sets):
+        assert ngram_join.bits_apart(m, m) == 0
+        for k, y in zip(maps[:-1], sets):
+            assert ngram_join.bits_apart(m, k) <= len(np.setxor1d(x, y))
+    assert ngram_join.bits_apart(maps[4], maps[5]) > 100
