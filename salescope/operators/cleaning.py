@@ -13,7 +13,9 @@ from ..schema import (CLEAN_INPUT_COLS, COSTS, HK_FEE, HK_WAREHOUSE, LOSS_NO, LO
 from .dims import attach_goods, attach_store_dim
 from .fills import round_money
 
-_PARSE = "decimal(18,6)"        # compact (long-backed) decimal: fast path
+# holds all 16 integer digits of the money type; what has at most 18 decimals
+# is rounded once, by round_money
+_PARSE = "decimal(38,18)"
 
 
 def add_iso_week(df: DataFrame, date_col: str = "order_date") -> DataFrame:

@@ -41,9 +41,11 @@ def fill_all_zero(df: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
 
 
 def round_money(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Fill 0, round half-even to 2 places, type as money."""
+    """Fill 0, round half-even to 2 places, type as money (P17). Only a null is
+    filled: a value beyond the money type fails, or without ANSI is null."""
     return df.withColumns({
-        c: F.bround(F.coalesce(F.col(c).cast("decimal(18,6)"), F.lit(0)), MONEY_SCALE).cast(MONEY_TYPE)
+        c: F.when(F.col(c).isNull(), F.lit(0).cast(MONEY_TYPE)).otherwise(
+            F.bround(F.col(c).cast("decimal(38,18)"), MONEY_SCALE).cast(MONEY_TYPE))
         for c in cols})
 
 

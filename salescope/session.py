@@ -61,8 +61,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set by the deployment (a shared file system or
-    object store). Only when it is unset -- local tests -- a private folder is
-    created and registered, so the same code path works in both places.
+    object store) and is an error where it is not. Only with a local master --
+    tests -- a private folder is created and registered instead, so the same
+    code path works in both places.
     """
     try:
         sc = spark.sparkContext
@@ -73,6 +74,8 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         current = tempfile.mkdtemp(prefix="salescope-ckpt-")
         sc.setCheckpointDir(current)
     elif not sc.getCheckpointDir():

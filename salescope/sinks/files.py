@@ -8,6 +8,7 @@ by sorting within the written partitions, never by a global sort.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -28,12 +29,15 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def write_partitioned(df: DataFrame, path: str, by: list[str], *, fmt: str = "parquet",
-                      mode: str = "overwrite", sort_within: list[Column | str] | None = None) -> None:
+                      mode: str = "overwrite", sort_within: list[Column | str] | None = None, spread: int = 8) -> None:
     """Fan-out (K8): one directory per value of ``by`` (e.g. per store and
     dimension), written by one job. Rows are clustered by the partition keys
-    first so each task writes few files; meant for report outputs, whose rows
-    per key are already aggregated (use ``write_fact`` for raw facts)."""
-    out = df.repartition(*by)
+    and one of ``spread`` hashes of the other columns, so a directory has at
+    most ``spread`` files and a key with many rows is not one task; order
+    holds within each file."""
+    rest = [c for c in df.columns if c not in by]
+    spot = [F.pmod(F.xxhash64(*rest), F.lit(spread))] if rest and spread > 1 else []
+    out = df.repartition(*by, *spot)
     out = out.sortWithinPartitions(*by, *(sort_within or []))
     out.write.mode(mode).format(fmt).partitionBy(*by).save(path)
 
@@ -47,7 +51,6 @@ def write_fact(df: DataFrame, path: str, *, date_col: str = "order_date", mode:
     Rows are range-partitioned on (date, order number), not hashed by month:
     a month -- or a single day -- holding a third of all rows is spread over
     many tasks instead of landing in one."""
-    from pyspark.sql import functions as F
     out = df.withColumn("order_month", F.trunc(F.col(date_col), "month"))
     (out.repartitionByRange(date_col, "order_no").sortWithinPartitions("order_month", date_col)
         .write.mode(mode).format(fmt).partitionBy("order_month").save(path))
@@ -71,6 +74,8 @@ def land_snapshots(latest: DataFrame, merged: DataFrame, url: str, table: str,
                    land: str = "latest", properties: dict | None = None) -> None:
     """Q18: which collected fact replaces the database table, the newest
     snapshot (the reference's actual behaviour) or the merged one."""
+    if land not in ("latest", "merged"):
+        raise ValueError(f"land must be 'latest' or 'merged', not {land!r}")
     write_jdbc(latest if land == "latest" else merged, url, table, "overwrite", properties)
 
 

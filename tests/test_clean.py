@@ -1,7 +1,12 @@
 """Cleaning (R5) and collecting (R1-R3) on a hand-written all-text fixture."""
 
+from decimal import Decimal
+
+import pytest
+
 from salescope.operators.cleaning import clean_orders
 from salescope.operators.dims import duplicate_keys
+from salescope.operators.fills import round_money
 from salescope.plans.collect import collect_orders, merge_snapshots, repair_orders
 from salescope.schema import RAW_ORDER_COLS, RAW_ORDERS_STRING
 
@@ -87,3 +92,11 @@ def test_dimension_broadcast_only_under_the_bound(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_money_range_and_single_rounding(spark):
+    df = spark.createDataFrame([("2000000000000",), ("9999999999999999.99",), ("1.0050000004",), ("1.005",), ("-0.00499999999",), (None,)], "revenue string")
+    got = [r[0] for r in round_money(df, ["revenue"]).collect()]
+    assert got == [Decimal(x) for x in ("2000000000000.00", "9999999999999999.99", "1.01", "1.00", "0.00", "0.00")]
+    with pytest.raises(Exception):
+        round_money(spark.createDataFrame([("99999999999999999",)], "revenue string"), ["revenue"]).collect()

@@ -4,11 +4,12 @@ partitioned fan-out, target snapshot read."""
 import os
 import tempfile
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from salescope.schema import ORDER_COLS, RAW_ORDER_COLS
-from salescope.sinks.files import write_csv, write_partitioned, write_report
+from salescope.sinks.files import land_snapshots, write_csv, write_partitioned, write_report
 from salescope.sources.files import (read_order_files, read_order_files_checked, read_positional,
                                      read_table, read_target)
 
@@ -62,6 +63,27 @@ def test_partitioned_fan_out(spark):
     assert read_table(spark, d).count() == 3
 
 
+def test_fan_out_splits_a_large_key(spark):
+    d = os.path.join(_tmp(), "fan-hot")
+    df = spark.range(4000).selectExpr("'s1' AS store", "id AS growth")
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"         # so few rows would go to one task again
+    before = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        write_partitioned(df, d, ["store"], sort_within=["growth"], spread=4)
+    finally:
+        spark.conf.set(merge, before)
+    files = [os.path.join(d, "store=s1", f) for f in os.listdir(os.path.join(d, "store=s1")) if f.endswith(".parquet")]
+    parts = [pq.read_table(f)["growth"].to_pylist() for f in files]
+    assert 1 < len(parts) <= 4 and all(p == sorted(p) for p in parts)
+    assert sorted(x for p in parts for x in p) == list(range(4000))
+
+
+def test_landed_snapshot_must_be_named(spark):
+    with pytest.raises(ValueError):
+        land_snapshots(spark.range(1), spark.range(1), "jdbc:none", "t", land="newest")
+
+
 def test_read_target_snapshot(spark):
     d = os.path.join(_tmp(), "targets")
     t = spark.createDataFrame([(20201105, "A", 10.0), (20201001, "A", 99.0)], "t long, k string, v double")
