@@ -137,6 +137,8 @@ def _dup_lines(data: np.ndarray, at: np.ndarray, word_start: np.ndarray, salt: n
     cut = np.flatnonzero(data == 0x0A)
     start = np.unique(np.concatenate([at[:-1], cut + 1]))
     start = start[start < len(data)]
+    if not len(start):                          # empty texts only
+        return np.zeros(len(at) - 1, np.int64)
     end = np.append(start[1:], len(data))
     end = end - (data[end - 1] == 0x0A)
     has = np.searchsorted(word_start, end) > np.searchsorted(word_start, start)
