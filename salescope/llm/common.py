@@ -7,6 +7,7 @@ and hashed on the Arrow buffer itself, without a Python object per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: bytes of text that a task turns into numpy arrays at a time
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -57,9 +58,22 @@ def once(df: DataFrame, name: str, value: F.Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+#: glibc's; None elsewhere
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Freed memory goes back to the system. Workers are reused, and idle ones
+    would keep it while others of the same executor need it."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
+
+def slices(batch: pa.RecordBatch, column: str | int = "text", most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Parts of a batch with about ``most`` bytes of text each; a longer text
-    is a part of its own. No row is left out."""
+    is a part of its own. No row is left out. After the last part, what the
+    parts took and freed is given back."""
     if not batch.num_rows:
         return
     at = np.frombuffer(batch.column(column).buffers()[1], np.int32, batch.num_rows + 1 + batch.column(column).offset)
@@ -70,6 +84,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES)
         hi = min(hi, batch.num_rows)
         yield batch.slice(lo, hi - lo)
         lo = hi
+    give_back()
 
 
 def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -154,8 +154,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id
                 [*batch.columns, pa.array([part] * batch.num_rows, pa.int32()), pa.array(wholes, pa.int64()), pa.array(ranks, pa.int64())],
                 [*batch.schema.names, "part", "whole_before", "rank"])
 
-    encoded = staged(encode_documents(docs, tokenizer, end_id).mapInArrow(
-        numbered, "doc_id long, n_tokens long, ids binary, part int, whole_before long, rank long"), "pack-ids")
+    encoded = staged(encode_documents(docs, tokenizer, end_id, numbered, ", part int, whole_before long, rank long"), "pack-ids")
     rest = (F.col("n_tokens") % window).cast("int").alias("rest")
     # at most a row per length and task; the totals per length stay under `window` rows
     groups = staged(encoded.groupBy("part", rest).agg(F.count("*").alias("n"), F.sum(F.floor(F.col("n_tokens") / window)).cast("long").alias("wholes")), "pack-counts")

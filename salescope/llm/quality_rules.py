@@ -180,11 +180,14 @@ def quality_report(docs: DataFrame) -> DataFrame:
 
 def quality_filter(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``quality_report`` keeps, with all columns."""
+    names = docs.columns
+    place = [c.lower() for c in names].index("text")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_quality_text"):
-                _, kept = verdict(text_counts(part.column("_quality_text")))
-                yield part.select(names).filter(pa.array(kept))
+            texts = batch.column(place).cast(pa.string()).fill_null("")
+            for part in slices(pa.RecordBatch.from_arrays([texts, *batch.columns], ["", *names]), 0):
+                _, kept = verdict(text_counts(part.column(0)))
+                yield pa.RecordBatch.from_arrays(part.columns[1:], names).filter(pa.array(kept))
 
-    names = docs.columns
-    return docs.withColumn("_quality_text", text_column(docs)).mapInArrow(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -15,7 +15,7 @@ task), one sorts by range of document id and writes blocks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -63,9 +63,10 @@ def binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, then: Callable | None = None, more: str = "") -> DataFrame:
     """(doc_id, n_tokens, ids): little-endian ids with the end id appended,
-    two bytes each where the vocabulary allows it, else four."""
+    two bytes each where the vocabulary allows it, else four. ``then`` takes a
+    task's batches further in the same worker and adds the columns ``more``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         kind = id_type(len(encoder.size))
@@ -81,7 +82,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                     ["doc_id", "n_tokens", "ids"])
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_column(docs).alias("text")) \
-        .mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+        .mapInArrow((lambda batches: then(run(batches))) if then else run, "doc_id long, n_tokens long, ids binary" + more)
 
 
 def id_type(vocabulary: int) -> str:
