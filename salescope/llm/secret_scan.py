@@ -35,6 +35,16 @@ class Rule:
         return f"{self.kind}:{hashlib.sha256(of.encode()).hexdigest()[:16]}"
 
 
+# A key block: its BEGIN line, header fields, the body and the matching END line. Where another BEGIN or the end of the
+# text comes first, the run of base64 words and lines that follows. Scans are over single characters, so none recurses.
+_BASE64_NEXT = (r"(?:(?:[\x20\t]+|[\x20\t]*\r?\n[\x20\t]*)[A-Za-z0-9+/=]{16,}(?![^\x20\t\r\n])"
+                r"|[\x20\t]*\r?\n[\x20\t]*[A-Za-z0-9+/=]+[\x20\t]*(?![^\r\n]))")
+_PEM = (r"-----BEGIN ((?:[A-Z]+ )*)PRIVATE KEY-----(?:"
+        r"(?=([\s\S]*?)-----(?:BEGIN |END \1PRIVATE KEY-----))\2-----END \1PRIVATE KEY-----"
+        r"|(?:(?:[\x20\t]*\r?\n[A-Za-z-]{1,40}:[^\r\n]*){1,9}(?:[\x20\t]*\r?\n)?)?(?=" + _BASE64_NEXT + r")"
+        r"[\s\S]*?(?<=[^\x20\t\r\n])(?![^\x20\t\r\n])(?!" + _BASE64_NEXT + r")"
+        r"|[\x20\t]*[\\A-Za-z0-9+/=]{16,})?")
+
 #: the base rules, in the order that ties at one start are listed
 BASE_RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -44,7 +54,7 @@ BASE_RULES = (
 )
 #: further well-known credential formats
 MORE_RULES = (
-    Rule("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
+    Rule("pem", _PEM),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 40),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 0, 20),
