@@ -3,7 +3,8 @@
 A byte-pair tokenizer splits a text into pieces before it merges, and always
 at white space that follows a visible character. So a text is cut there, each
 distinct cut is encoded once per worker, and the ids of the text are those of
-its cuts, joined. Texts with white space beyond ASCII are encoded as they are.
+its cuts, joined. Texts with white space beyond ASCII, or with the string of an
+added token such as <|endoftext|>, are encoded as they are.
 What a worker remembers is bounded and starts anew when full, which changes
 nothing but the speed.
 """
@@ -15,6 +16,7 @@ import os
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 
 from .common import Words, span_hashes
 
@@ -25,8 +27,8 @@ _JOINED = 512
 
 
 class Encoder:
-    """Ids of texts, as the tokenizer gives them for each whole text (no
-    special tokens added; their strings are ordinary text)."""
+    """Ids of texts, as the tokenizer gives them for each whole text: none are
+    added to it, and the string of an added token is that token."""
 
     _made: dict[str, "Encoder"] = {}
 
@@ -41,9 +43,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         # whether white space leaves no trace and case none: then cuts are lower-cased words
         self.bare = not self._ids(" \n ") and self._ids("Ab") == self._ids("ab")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # bytes of text that each id stands for: byte-level tokens have a character a byte
         vocab = self.tokenizer.get_vocab()
         self.size = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -88,9 +90,17 @@ class Encoder:
         total = np.concatenate([[0], np.cumsum(count)])
         ids = self.flat[np.repeat(self.start[entry] - total[:-1], count) + np.arange(total[-1])]
         offsets = total[first]
-        odd = _odd_rows(data, at)
+        odd = np.union1d(_odd_rows(data, at), self._added_rows(texts)).astype(np.int64)
         return self._redone(texts, ids, offsets, odd) if len(odd) else (ids, offsets)
 
+    def _added_rows(self, texts: pa.Array) -> np.ndarray:
+        """Rows with the string of an added token, in any case: cuts that are
+        remembered by their lower case share an entry with it."""
+        found = np.zeros(len(texts), bool)
+        for content in self.added:
+            found |= pc.match_substring(texts, content, ignore_case=True).to_numpy(zero_copy_only=False)
+        return np.flatnonzero(found)
+
     def _redone(self, texts: pa.Array, ids: np.ndarray, offsets: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         each = [ids[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
         for i in odd:

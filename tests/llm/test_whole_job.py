@@ -1,6 +1,13 @@
 """What the operators once left out: cases of the second round's advice."""
 
-from salescope.llm import secret_scan
+import collections
+import zlib
+
+import numpy as np
+import pytest
+
+from salescope.llm import packing, secret_scan, token_output
+from salescope.llm.tokens import tokenizer_path
 from salescope.session import scratch_path
 
 
@@ -36,3 +43,27 @@ def test_private_key_bodies_are_redacted(spark):
     got = {r["doc_id"]: r["text"] for r in secret_scan.redact_secrets(docs, ledger, only).collect()}
     for i, (_, want) in enumerate(cases):
         assert got[i] == want, i
+
+
+@pytest.mark.parametrize("name, end", [("byte_bpe_50k.json", 0), ("word_bpe_49k.json", 2)])
+def test_strings_of_added_tokens(spark, name, end):
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(tokenizer_path(name))
+    texts = ["a<|endoftext|>b", "a<|ENDOFTEXT|>b", "<|endoftext|>", "x <|endoftext|> y\n<|startoftext|>z", "a <|EndOfText|> b", "A<|STARTOFTEXT|>b <|startoftext|>",
+             "<|endoftext|><|endoftext|>", "< |endoftext|> plain", "a b c", "", "é\u00a0<|endoftext|>\u3000z"]
+    rows = [(k, t) for k, t in enumerate(texts * 3)]
+    want = collections.Counter()
+    for k, t in rows:
+        ids = np.array(library.encode(t, add_special_tokens=False).ids + [end], "<u4")
+        want[k, len(ids), zlib.crc32(ids.tobytes())] += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    if end:
+        got = packing.pack_documents(docs, tokenizer_path(name)).filter("start = 0 and length = doc_tokens")
+        got = collections.Counter(tuple(r) for r in got.select("doc_id", "doc_tokens", "ids_crc32").collect())
+        assert got and not got - want
+        ids = token_output.encode_documents(docs, tokenizer_path(name), end).collect()
+        kind = token_output.id_type(token_output.vocabulary_size(tokenizer_path(name)))
+        assert collections.Counter((r["doc_id"], r["n_tokens"], zlib.crc32(np.frombuffer(r["ids"], kind).astype("<u4").tobytes())) for r in ids) == want
+    else:
+        got = token_output.token_output(docs, tokenizer_path(name)).select("doc_id", "n_tokens", "ids_crc32").collect()
+        assert collections.Counter(tuple(r) for r in got) == want
