@@ -2,7 +2,8 @@
 
 Every host gets two seeds, the shares of its pages that rules allow and block.
 Trust flows along the links between hosts (personalised PageRank), distrust
-against them, and a url that no rule fits takes the verdict of its host.
+against them, and a url that no rule fits takes the verdict of its host, which
+is blocked where distrust is above trust and its own links lead to blocked hosts.
 DataFrame functions only. Links are counted per pair of hosts before they are
 shuffled, so a host with a third of all pages is a few rows; the scores are
 one small row per host and direction, written at each step.
@@ -27,7 +28,7 @@ RULES = (
 DAMPING = 0.85
 #: steps of propagation at most, and the change at which it ends
 STEPS, SETTLED = 20, 1e-4
-#: a host is blocked from the distrust of one with this share of its pages blocked
+#: a host is blocked from the reach of one with this share of its pages blocked
 BLOCKED_SHARE = 0.5
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -60,32 +61,37 @@ def host_links(pages: DataFrame) -> DataFrame:
 
 
 def host_scores(seeds: DataFrame, links: DataFrame) -> DataFrame:
-    """(host, trust, distrust) from (host, allowed, blocked) shares and links.
-
-    ``host_scores`` is (1 - d) * seed + d * the scores that links bring, trust
-    from the hosts that link here, distrust from the hosts linked to, each
-    shared out among a host's links by their pages.
+    """(host, trust, distrust, reach) from (host, allowed, blocked) shares and
+    links.
+
+    A score is (1 - d) * seed + d * the scores that links bring: trust from the
+    hosts that link here and distrust from the hosts linked to, each shared out
+    among a host's links by their pages. Reach is distrust averaged over a
+    host's own links instead, so it does not sink with the number of others
+    that link to the same blocked host.
     """
-    flows = staged(
-        links.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n")
-        .unionByName(links.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n")), "url-links")
-    out = flows.groupBy("kind", "host").agg(F.sum("n").alias("all"))
-    start = seeds.select("host", F.explode(F.map_from_arrays(F.array(F.lit("trust"), F.lit("distrust")), F.array("allowed", "blocked"))).alias("kind", "seed"))
+    links = staged(links, "url-pairs")
+    by_src = links.groupBy("src").agg(F.sum("n").alias("src_n"))
+    by_dst = links.groupBy("dst").agg(F.sum("n").alias("dst_n"))
+    weighed = links.join(by_src, "src").join(by_dst, "dst")
+    flow = lambda kind, host, to, every: F.struct(F.lit(kind).alias("kind"), F.col(host).alias("host"), F.col(to).alias("to"), (F.col("n") / F.col(every)).alias("weight"))
+    flows = staged(weighed.select(F.explode(F.array(
+        flow("trust", "src", "dst", "src_n"), flow("distrust", "dst", "src", "dst_n"), flow("reach", "dst", "src", "src_n"))).alias("f")).select("f.*"), "url-links")
+    start = seeds.select("host", F.explode(F.map_from_arrays(F.array(F.lit("trust"), F.lit("distrust"), F.lit("reach")), F.array("allowed", "blocked", "blocked"))).alias("kind", "seed"))
     # hosts that are only linked to have no seed
     every = start.unionByName(flows.select("kind", "host", F.lit(0.0).alias("seed")).unionByName(
         flows.select("kind", F.col("to").alias("host"), F.lit(0.0).alias("seed"))))
-    state = staged(every.groupBy("kind", "host").agg(F.sum("seed").alias("seed")).join(out, ["kind", "host"], "left")
+    state = staged(every.groupBy("kind", "host").agg(F.sum("seed").alias("seed"))
                    .withColumn("score", F.col("seed") * (1 - DAMPING)), "url-scores")
     for _ in range(STEPS):
-        brought = state.filter("all IS NOT NULL AND score > 0").join(flows, ["kind", "host"]).groupBy("kind", F.col("to").alias("host")).agg(
-            F.sum(F.col("score") * F.col("n") / F.col("all")).alias("brought"))
+        brought = state.filter("score > 0").join(flows, ["kind", "host"]).groupBy("kind", F.col("to").alias("host")).agg(
+            F.sum(F.col("score") * F.col("weight")).alias("brought"))
         after = F.col("seed") * (1 - DAMPING) + DAMPING * F.coalesce("brought", F.lit(0.0))
-        step = staged(state.join(brought, ["kind", "host"], "left").select("kind", "host", "seed", "all", after.alias("score"), F.abs(after - F.col("score")).alias("change")), "url-scores")
+        step = staged(state.join(brought, ["kind", "host"], "left").select("kind", "host", "seed", after.alias("score"), F.abs(after - F.col("score")).alias("change")), "url-scores")
         state = step.drop("change")
         if (step.agg(F.max("change")).first()[0] or 0.0) < SETTLED:
             break
-    return state.groupBy("host").agg(
-        F.max(F.when(F.col("kind") == "trust", F.col("score"))).alias("trust"), F.max(F.when(F.col("kind") == "distrust", F.col("score"))).alias("distrust"))
+    return state.groupBy("host").agg(*[F.max(F.when(F.col("kind") == k, F.col("score"))).alias(k) for k in ("trust", "distrust", "reach")])
 
 
 def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
@@ -104,7 +110,7 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) ->
     share = lambda v: F.avg(F.when(F.col("by_rule") == v, 1.0).otherwise(0.0))
     seeds = judged.filter("host <> ''").groupBy("host").agg(share("allow").alias("allowed"), share("block").alias("blocked"))
     scores = host_scores(seeds, host_links(pages.select("url", F.col("html").cast("string").alias("html"))))
-    bad = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= (1 - DAMPING) * BLOCKED_SHARE)
+    bad = (F.col("distrust") > F.col("trust")) & (F.col("reach") >= (1 - DAMPING) * BLOCKED_SHARE)
     hosts = staged(scores.select("host", F.when(bad, "block").otherwise("allow").alias("by_host")), "url-hosts")
     return judged.join(hosts, "host", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("by_rule", "by_host", F.lit("allow")).alias("verdict"))

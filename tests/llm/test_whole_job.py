@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from salescope.llm import packing, secret_scan, token_output
+from salescope.llm import packing, secret_scan, token_output, url_filter
 from salescope.llm.tokens import tokenizer_path
 from salescope.session import scratch_path
 
@@ -67,3 +67,21 @@ def test_strings_of_added_tokens(spark, name, end):
     else:
         got = token_output.token_output(docs, tokenizer_path(name)).select("doc_id", "n_tokens", "ids_crc32").collect()
         assert collections.Counter(tuple(r) for r in got) == want
+
+
+def test_distrust_reaches_every_linker(spark):
+    link = lambda *hosts: " ".join(f'<a href="http://{h}/">x</a>' for h in hosts)
+    rows = [(0, "http://bad.net/es/", "")]
+    rows += [(i, f"http://friend{i}.org/", link("bad.net")) for i in range(1, 31)]
+    rows += [(40, "http://second.org/", link("friend1.org")), (41, "http://mostly.org/", link("bad.net", *(f"n{i}.org" for i in range(9)))),
+             (42, "http://alone.org/", ""), (43, "http://good.com/", link("known.org")), (44, "http://known.org/", link("bad.net"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(pages).collect()}
+    assert all(got[i] == "block" for i in range(31)) and got[40] == "block"
+    # one link in ten, no links, and a host that an allowed one links to
+    assert got[41] == got[42] == got[43] == got[44] == "allow"
+    # the page tests' friend.org, one of two that link to a blocked host
+    rows = [(1, "http://bad.net/es/", ""), (2, "http://friend.org/", link("bad.net", "bad.net")), (3, "http://good.com/", link("liked.org")),
+            (4, "http://liked.org/", link("bad.net", "good.com")), (5, "http://alone.org/", link("alone.org"))]
+    got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "allow"}
