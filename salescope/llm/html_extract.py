@@ -2,9 +2,11 @@
 
 A page is cut into blocks of text. Markup decides what it can: blocks inside
 ``article`` or ``main`` are the text, and blocks inside menus, headers,
-footers, sidebars, notices, adverts, forms and comments are not. A page
-without such an element leaves its other blocks undecided, and there the
-host decides: the token streams of its pages, everything outside the known
+footers, sidebars, notices, adverts, forms and comments are not, unless such
+an element is what holds the page's text. A page without ``article`` or
+``main`` leaves its other blocks undecided, as are blocks of the text whose
+class or id only hints in part (``related-posts``, ``has-sidebar``), and there
+the host decides: the token streams of its pages, everything outside the known
 text, are concatenated into a suffix array, and a run of words that also
 stands on another page of the host is boilerplate; what only this page has is
 its text.
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,18 +59,25 @@ _ROLE = frozenset("navigation banner contentinfo complementary search form dialo
 _ATTR = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 
-def _is_chrome(tag: str, attrs: str) -> bool:
+def _hint(tag: str, attrs: str) -> str:
+    """chrome, doubt where only a part of a class or id name hints at it, or nothing."""
     if tag in _CHROME:
-        return True
+        return "chrome"
+    found = ""
     if not attrs or tag in _MAIN or tag in ("body", "html"):
-        return False
+        return found
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id") and not _HINT.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
+        if name in ("class", "id"):
+            for token in value.split():
+                parts = {x for x in re.split(r"[^a-z0-9]+", token) if x}
+                if parts and parts <= _HINT:
+                    return "chrome"
+                if parts & _HINT:
+                    found = "doubt"
         if name == "role" and value in _ROLE or name == "hidden":
-            return True
-    return False
+            return "chrome"
+    return found
 
 
 def _tokens(page: str) -> list[tuple[str, str, str]]:
@@ -111,19 +121,35 @@ def _end_of(tokens: list[tuple[str, str, str]], i: int) -> int:
 
 def blocks_of(page: str) -> list[tuple[str, str]]:
     """[(block, where)] of a page in order: white space inside a block is one
-    space; ``where`` is main, chrome, or open where markup does not tell."""
-    tokens, out, held = _tokens(page), [], []
-    main, chrome_until = 0, 0
+    space; ``where`` is main, chrome, doubt (in main, where a name hints in
+    part), or open where markup does not tell. Where chrome holds all of the
+    article and main elements' text, what holds one is not chrome."""
+    tokens = _tokens(page)
+    out, hidden = _blocks(tokens, False)
+    return _blocks(tokens, True)[0] if hidden and not any(where in ("main", "doubt") for _, where in out) else out
+
+
+def _blocks(tokens: list[tuple[str, str, str]], bare: bool) -> tuple[list[tuple[str, str]], bool]:
+    """The blocks, and whether chrome hides an article or main element; with
+    ``bare`` none does. A form that holds one wraps the page and never does."""
+    out, held, hidden = [], [], False
+    main, chrome_until, doubt_until = 0, 0, 0
+    mains = [i for i, (kind, name, _) in enumerate(tokens) if kind == "open" and name in _MAIN]
 
     def flush(where: str) -> None:
         if text := " ".join("".join(held).split()):
             out.append((text, where))
         held.clear()
 
+    def at(i: int) -> str:
+        return "chrome" if i < chrome_until else "open" if not main else "doubt" if i < doubt_until else "main"
+
     for i, (kind, name, attrs) in enumerate(tokens):
-        where = "chrome" if i < chrome_until else "main" if main else "open"
+        where = at(i)
         if chrome_until and i == chrome_until:
             flush("chrome")
+        if doubt_until and i == doubt_until:
+            flush(at(i - 1))
         if kind == "text":
             held.append(name)
         elif name == "br":
@@ -131,13 +157,19 @@ def blocks_of(page: str) -> list[tuple[str, str]]:
         else:
             if name in _BLOCK:
                 flush(where)
-            if i >= chrome_until and kind == "open" and _is_chrome(name, attrs):
+            hint = _hint(name, attrs) if i >= chrome_until and kind == "open" else ""
+            end = _end_of(tokens, i) if hint == "chrome" or hint and main else i
+            holds = bisect_left(mains, end) > bisect_right(mains, i)
+            if hint == "chrome" and not (holds and (bare or name == "form")):
                 flush(where)
-                chrome_until = _end_of(tokens, i)
+                chrome_until, hidden = end, hidden or holds
+            elif hint == "doubt" and main and not holds:
+                flush(where)
+                doubt_until = max(doubt_until, end)
             elif i >= chrome_until and name in _MAIN:
                 main = main + 1 if kind == "open" else max(0, main - 1)
-    flush("chrome" if len(tokens) <= chrome_until else "main" if main else "open")
-    return out
+    flush(at(len(tokens) - 1))
+    return out, hidden
 
 
 def main_text(page: str) -> str | None:
@@ -146,6 +178,18 @@ def main_text(page: str) -> str | None:
     return " ".join(b for b, where in blocks if where == "main") if any(where == "main" for _, where in blocks) else None
 
 
+def _told(blocks: list[tuple[str, str]]) -> bool:
+    """Whether markup alone tells the text."""
+    found = {where for _, where in blocks}
+    return "main" in found and "doubt" not in found
+
+
+def _ways(blocks: list[tuple[str, str]]) -> list[int]:
+    """For each block: 2 is text, 1 is text where no run repeats, 0 is not."""
+    any_main = any(where in ("main", "doubt") for _, where in blocks)
+    return [2 if where == "main" else int(where == "doubt" or where == "open" and not any_main) for _, where in blocks]
+
+
 def _stream(blocks: list[tuple[str, str]]) -> str:
     """What the host's suffix array reads of a page: all but its known text."""
     return " ".join(b for b, where in blocks if where != "main")
@@ -196,8 +240,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "html"):
-                texts = [main_text(p) for p in part.column("html").to_pylist()]
-                known = pa.array([t is not None for t in texts])
+                pages_ = [blocks_of(p) for p in part.column("html").to_pylist()]
+                texts = [" ".join(b for b, where in p if where == "main") for p in pages_]
+                known = pa.array([_told(p) for p in pages_], pa.bool_())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"]).filter(known)
 
@@ -205,46 +250,48 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "html"):
                 pages_ = [blocks_of(p) for p in part.column("html").to_pylist()]
-                known = pa.array([not any(where == "main" for _, where in p) for p in pages_])
+                known = pa.array([not _told(p) for p in pages_], pa.bool_())
                 streams = pa.array([_stream(p) for p in pages_], pa.string())
                 w = Words(streams, lower=False)
                 grams, whole = w.grams(MIN_RUN)
                 runs = [signed(grams[a:b][whole[a:b]]) for a, b in zip(w.first[:-1], w.first[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), part.column("host"),
-                     pa.array([[b for b, where in p if where != "main"] for p in pages_], pa.list_(pa.string())),
-                     pa.array([[where == "open" for _, where in p if where != "main"] for p in pages_], pa.list_(pa.bool_())),
+                     pa.array([[b for b, _ in p] for p in pages_], pa.list_(pa.string())),
+                     pa.array([_ways(p) for p in pages_], pa.list_(pa.int32())),
                      pa.array(runs, pa.list_(pa.int64()))],
-                    ["page_id", "url", "host", "blocks", "opens", "runs"]).filter(known)
+                    ["page_id", "url", "host", "blocks", "ways", "runs"]).filter(known)
 
     def unique(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [unique_text(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("blocks", "opens", "covered")))]
+            texts = [unique_text(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("blocks", "ways", "covered")))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     out = "page_id long, url string, text string"
     first = rows.select("page_id", "url", "html").mapInArrow(told, out)
     rest = staged(rows.select("page_id", "url", "host", "html").mapInArrow(
-        untold, "page_id long, url string, host string, blocks array<string>, opens array<boolean>, runs array<long>")
+        untold, "page_id long, url string, host string, blocks array<string>, ways array<int>, runs array<long>")
         .withColumn("row", F.monotonically_increasing_id()), "html-untold")
     repeated = staged(repeated_runs(rows.withColumn("content", F.xxhash64("html"))), "html-runs")
     covered = rest.select("row", "host", F.posexplode("runs").alias("at", "run")).join(repeated, ["host", "run"]).groupBy("row").agg(F.collect_list("at").alias("covered"))
-    second = rest.join(covered, "row", "left").select("page_id", "url", "blocks", "opens", "covered").mapInArrow(unique, out)
+    second = rest.join(covered, "row", "left").select("page_id", "url", "blocks", "ways", "covered").mapInArrow(unique, out)
     return first.unionByName(second).withColumn("n_chars", F.length("text").cast("long"))
 
 
-def unique_text(blocks: list[str], opens: list[bool], covered: list[int] | None) -> str:
-    """The words of the open blocks that no repeated run covers, unless nearly
-    all are covered; a block that loses all its words is gone."""
+def unique_text(blocks: list[str], ways: list[int], covered: list[int] | None) -> str:
+    """The words of the known text (2) and those of the open blocks (1) that no
+    repeated run covers; without known text, all of them where nearly all are
+    covered; a block that loses all its words is gone."""
     words = [b.split(" ") for b in blocks]
-    mark = np.zeros(sum(map(len, words)) + MIN_RUN, bool)
+    sizes = [0 if way == 2 else len(w) for w, way in zip(words, ways)]
+    mark = np.zeros(sum(sizes) + MIN_RUN, bool)
     for at in covered or ():
         mark[at:at + MIN_RUN] = True
-    starts = np.cumsum([0, *map(len, words)])
-    open_ = [(w, _whole_runs(mark[s:s + len(w)])) for w, s, o in zip(words, starts, opens) if o]
+    starts = np.cumsum([0, *sizes])
+    open_ = [(w, np.zeros(len(w), bool) if way == 2 else _whole_runs(mark[s:s + len(w)])) for w, s, way in zip(words, starts, ways) if way]
     total, hit = sum(len(w) for w, _ in open_), sum(int(m.sum()) for _, m in open_)
-    if hit > COPY_SHARE * total:
+    if hit > COPY_SHARE * total and 2 not in ways:
         open_ = [(w, np.zeros(len(w), bool)) for w, _ in open_]
     kept = (" ".join(x for x, m in zip(w, marks) if not m) for w, marks in open_)
     return " ".join(t for t in kept if t)

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from salescope.llm import packing, secret_scan, token_output, url_filter
+from salescope.llm import html_extract, packing, secret_scan, token_output, url_filter
 from salescope.llm.tokens import tokenizer_path
 from salescope.session import scratch_path
 
@@ -85,3 +85,27 @@ def test_distrust_reaches_every_linker(spark):
             (4, "http://liked.org/", link("bad.net", "good.com")), (5, "http://alone.org/", link("alone.org"))]
     got = {r["page_id"]: r["verdict"] for r in url_filter.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {1: "block", 2: "block", 3: "allow", 4: "block", 5: "allow"}
+
+
+@pytest.mark.parametrize("page, text", [
+    ('<body><form id="aspnetForm"><nav>n</nav><article>a b</article><div>c</div></form></body>', "a b"),
+    ('<div class="page has-sidebar"><article>a b</article></div>', "a b"),
+    ('<div class="sidebar"><div class="widget"><main>a<p>b</p></main></div></div><footer>f</footer>', "a b"),
+    ('<main><form><div class="search"><article>a b</article></div></form></main>', "a b"),
+    ('<form><article>a</article></form><article>b</article>', "a b"),
+    # chrome beside the text, or in it, stays chrome
+    ('<main>a<section id=comments><article>c</article></section> b</main><aside><article>t</article></aside>', "a b"),
+    ('<article>a<form>q</form> b</article>', "a b"),
+])
+def test_wrappers_do_not_hide_the_text(page, text):
+    assert html_extract.main_text(page) == text
+
+
+def test_partial_hints_are_left_to_the_host(spark):
+    links = "read one of these other stories that we have picked for you"
+    own = lambda i: " ".join(f"own{i}x{j}" for j in range(20))
+    rows = [(i, f"http://a.example.com/{i}", f'<main><p>t{i}</p><div class="content has-sidebar">{own(i)}</div><div class="related-posts">{links}</div></main><p>{links}</p>') for i in range(4)]
+    rows += [(10 + i, f"http://b.example.com/{i}", f'<div class="layout has-sidebar"><p>{own(i)}</p><div class="site-footer">{links}</div></div>') for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in html_extract.extract_main_text(pages).collect()}
+    assert got == {**{i: f"t{i} {own(i)}" for i in range(4)}, **{10 + i: own(i) for i in range(4)}}
