@@ -3,7 +3,8 @@
 Texts and items are words, lower-cased, and their sets are five-word shingles
 weighted by how often they occur; fewer than five words are one shingle. A
 document's windows have the size of a benchmark item and stand where a shared
-shingle aligns the two: a window at 0.8 shares at least one. Each window gets
+shingle aligns the two, starts the window or ends it: any other window can be
+moved to such a place without losing shared weight. Each window gets
 a 64-bit SimHash. Six blocks of its bits index it: fingerprints within 17 bits
 of each other agree in one block up to two bits, so looking up all values
 within two bits of an item's block finds every one of them. What lies within
@@ -74,10 +75,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_column(docs).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     read = once(once(rows, "words", _words(F.col("text"))), "sh", shingles("words"))
     aligned = read.select("doc_id", "text_hash", F.size("sh").alias("n"), F.posexplode("sh").alias("pos", "shingle")).join(few(staged(anchors, "leak-anchors")), "shingle")
-    # the window's shingles [start, stop), cut to the document
+    # the window's shingles [start, stop), cut to the document: aligned, from the shared shingle on, or up to it
     size = F.greatest(F.col("n_words") - (SHINGLE - 1), F.lit(1))
-    start = F.col("pos") - F.col("at")
-    windows = staged(aligned.select(
+    start = F.col("first")
+    starts = F.array_distinct(F.array(F.col("pos") - F.col("at"), F.col("pos"), F.col("pos") - size + 1))
+    windows = staged(aligned.select("doc_id", "text_hash", "n", "n_words", F.explode(starts).alias("first")).select(
         "doc_id", "text_hash", F.greatest(start, F.lit(0)).alias("start"), F.least(start + size, F.col("n")).alias("stop")).distinct(), "leak-windows")
     at = windows.select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), "start", "stop").groupBy("at_id", "at_hash").agg(
         F.collect_list(F.struct("start", "stop")).alias("windows"))

@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from salescope.llm import html_extract, packing, secret_scan, token_output, url_filter
+from salescope.llm import decontaminate, html_extract, packing, secret_scan, token_output, url_filter
 from salescope.llm.tokens import tokenizer_path
 from salescope.session import scratch_path
 
@@ -109,3 +109,17 @@ def test_partial_hints_are_left_to_the_host(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
     got = {r["page_id"]: r["text"] for r in html_extract.extract_main_text(pages).collect()}
     assert got == {**{i: f"t{i} {own(i)}" for i in range(4)}, **{10 + i: own(i) for i in range(4)}}
+
+
+def test_windows_that_no_shingle_aligns(spark):
+    words, near = [f"i{k}" for k in range(59)], [f"n{k}" for k in range(200)]
+    swapped = [*words[30:], *words[:30]]
+    thirds = [*words[40:], *words[:20], *words[20:40]]
+    docs = [(1, [*near, *swapped, *near]), (2, swapped), (3, [*swapped, *near]), (4, [*near, *swapped]), (5, near), (6, [*near[:50], *thirds]),
+            (7, [*near, *words[:30], *near, *words[30:]])]
+    docs = spark.createDataFrame([(k, " ".join(w)) for k, w in docs], "doc_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(words))], "item_id long, text string")
+    # swapped: 51 of 55 shingles in one window, 51 / 59
+    got = {r["doc_id"]: r["similarity"] for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {1: 0.864407, 2: 0.864407, 3: 0.864407, 4: 0.864407, 6: 0.864407}
+    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()) == [5, 7]
