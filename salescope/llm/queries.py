@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontaminate, html_extract, license_scan, lm_score, ngram_join, packing, quality_rules, secret_scan, token_output, url_filter
+from . import (decontaminate, fill_middle, html_extract, license_scan, lm_score, merkle, ngram_join, packing, quality_rules, secret_scan, token_output,
+               url_filter, warc)
 from .common import table
 from .tokens import tokenizer_path
 
@@ -64,12 +65,33 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle.restore_texts(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    claimed = F.when(changed, merkle.leaf_digest([*columns, F.translate("text", upper, upper.lower())])).otherwise(merkle.leaf_digest([*columns, F.col("text")]))
+    return merkle.verify_after(docs, claimed).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def all_queries() -> dict:
     import corpus_pipeline
     return {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (
         op1_html_extraction, op2_license_scan, op3_ngram_join, op4_decontamination, op5_token_output, op6_url_filter, op7_quality_rules, op8_lm_score,
-        op9_secret_scan, op10_packing)}
+        op9_secret_scan, op10_packing, op11_warc, op12_fill_in_middle, op13_merkle_manifest)}
 
 
 def all_sql() -> dict[str, str]:
-    return {}
+    from .oracle import SQL
+    return dict(SQL)
