@@ -11,7 +11,8 @@ Two conventions exist side by side and are kept apart on purpose:
 
 Ratios are computed in double precision and rounded through ``decimal(38,6)``
 so that half-up / half-even rounding acts on decimal digits, not on binary
-fractions.
+fractions; only the sheet flavour's percent text rounds the double itself, as a
+float formatter does.
 """
 
 from __future__ import annotations
@@ -83,15 +84,24 @@ def report_pct_text(c) -> Column:
     return F.concat(decimal_text(c), F.lit("%"))
 
 
+def float_fixed(c) -> Column:
+    """A double printed with two decimals the way ``%.2f`` prints it: the value
+    that the double really has (1.015 is 1.01499...) rounded half-even once,
+    and a negative zero with its sign. The JVM's number format decides ties by
+    the exact binary value; from 1e14 on it prints the shortest digits that
+    give the double, then zeros. Null stays null."""
+    return F.call_function("format_number", as_double(c), F.lit("0.00"))
+
+
 def sheet_pct_text(ratio) -> Column:
-    """Sheet flavour: ratio x 100 with exactly two decimals and ``%``;
-    infinities print as ``inf%`` / ``-inf%``."""
-    r = as_double(ratio)
-    fixed = F.round(_to_dec6(r * 100), 2).cast("decimal(38,2)").cast("string")
+    """Sheet flavour: ratio x 100 with exactly two decimals and ``%``, rounded
+    as the double that it is (:func:`float_fixed`); infinities print as
+    ``inf%`` / ``-inf%``."""
+    r = as_double(ratio) * 100
     return (
         F.when(r == float("inf"), F.lit("inf%"))
         .when(r == float("-inf"), F.lit("-inf%"))
-        .otherwise(F.concat(fixed, F.lit("%")))
+        .otherwise(F.concat(float_fixed(r), F.lit("%")))
     )
 
 

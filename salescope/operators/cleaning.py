@@ -82,8 +82,11 @@ def row_uuid(df: DataFrame) -> DataFrame:
     return df.withColumn("uuid", F.expr("uuid()"))
 
 
-def clean_orders(raw: DataFrame, store_dim: DataFrame, goods_dim: DataFrame) -> DataFrame:
-    """Typed, repaired and enriched order fact.
+def clean_orders(raw: DataFrame, store_dim: DataFrame | None = None, goods_dim: DataFrame | None = None, *,
+                 goods_keys: tuple[str, ...] = ("product", "product2")) -> DataFrame:
+    """Typed, repaired and enriched order fact. A report that needs no store
+    or goods columns leaves the dimension out, or names the ``goods_keys`` it
+    needs, and with it the join.
 
     Output: the 25 cleaned input columns, ``week``, ``is_loss``,
     ``corrected_profit``, ``department``, ``platform``, ``operator`` and
@@ -100,7 +103,8 @@ def clean_orders(raw: DataFrame, store_dim: DataFrame, goods_dim: DataFrame) ->
     df = round_money(df, MONEY)
     df = loss_flag(df)
     df = corrected_profit(df)
-    df = attach_store_dim(df, store_dim, case_insensitive=True)
-    df = attach_goods(df, goods_dim, "product", "product1")
-    df = attach_goods(df, goods_dim, "product2", "product2")
+    if store_dim is not None:
+        df = attach_store_dim(df, store_dim, case_insensitive=True)
+    for key in goods_keys if goods_dim is not None else ():
+        df = attach_goods(df, goods_dim, key, "product1" if key == "product" else key)
     return df

@@ -10,19 +10,18 @@ For a key set that is not bounded that way, ``distributed_dense_rank_desc`` /
 single-task sort:
 
 1. one row per distinct value with its multiplicity (partial aggregation);
-2. the values cut into ordered buckets: equal-width on a signed log scale
-   (so heavy-tailed sums still spread) between the exact minimum and maximum.
-   The bucket is a pure, monotone function of the value, so equal values share
-   a bucket and a recomputation cannot move a value (min and max do not depend
-   on row order);
+2. the values cut into ordered ranges at quantiles of the distinct values (one
+   sketch, a few numbers on the driver). The range is a pure, monotone function
+   of the value, so equal values share one and a recomputation cannot move a
+   value; each holds about as many values, also where they cluster;
 3. a rank inside each bucket (a window partitioned by bucket);
 4. per-bucket offsets from a table of one row per bucket, so its running sum
    and its broadcast are bounded by the bucket count, not the data;
 5. the rank joined back to the rows on the value (null-safe).
 
-The bounds are scalar subqueries over the input, so the input should be a
+The sketch is a job of its own over the input, so the input should be a
 materialised table (a ``checkpoint()`` or a written table in the shared
-folder): over a long lazy plan each subquery would recompute it.
+folder): over a long lazy plan it would be computed twice.
 """
 
 from __future__ import annotations
@@ -43,39 +42,28 @@ def competition_rank_desc(df: DataFrame, col: str, name: str) -> DataFrame:
     return df.withColumn(name, F.rank().over(Window.orderBy(F.col(col).desc_nulls_last())))
 
 
-def _buckets(df: DataFrame) -> int:
-    try:
-        return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    except Exception:  # noqa: BLE001
-        return 8
+#: ranges that the values of a distributed rank are cut into, at most
+MOST_RANGES = 1000
 
 
-def _bucket_expr(vals: DataFrame, n: int):
-    """Bucket of ``__v``, 0 for the highest values; nulls after all others."""
-    if n <= 1 or not isinstance(vals.schema["__v"].dataType, T.NumericType):
+def _bucket_expr(vals: DataFrame):
+    """Range of ``__v``, 0 for the highest values; nulls after all others. The
+    bounds are quantiles of the distinct values, so each range holds about as
+    many of them, however they cluster."""
+    if not isinstance(vals.schema["__v"].dataType, T.NumericType):
         return F.when(F.col("__v").isNull(), F.lit(1)).otherwise(F.lit(0))
-
-    def log_scale(c):
-        d = c.cast("double")
-        return F.signum(d) * F.log1p(F.abs(d))
-
-    t = log_scale(F.col("__v"))
-    finite = F.when(~F.isnan(t) & (F.abs(t) < float("inf")), t)
-    lo = vals.select(F.min(finite)).scalar()
-    hi = vals.select(F.max(finite)).scalar()
-    width = hi - lo
-    raw = F.floor((hi - t) / width * n).cast("int")
-    inner = F.least(F.greatest(raw, F.lit(0)), F.lit(n - 1))
-    return (F.when(F.col("__v").isNull(), F.lit(n))
-             .when(F.isnan(t) | hi.isNull() | (t >= hi), F.lit(0))
-             .when(t <= lo, F.lit(n - 1))
-             .otherwise(inner))
+    n = max(1, min(MOST_RANGES, int(vals.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    value = F.col("__v").cast("double")
+    # a few numbers, whatever the input
+    bounds = sorted(set(vals.select(value.alias("v")).approxQuantile("v", [i / n for i in range(1, n)], 1 / (4 * n)))) if n > 1 else []
+    above = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b > value)) if bounds else F.lit(0)
+    return F.when(F.col("__v").isNull(), F.lit(len(bounds) + 1)).otherwise(above)
 
 
 def _global_rank(df: DataFrame, col: str, name: str, dense: bool) -> DataFrame:
     value = F.col(col)
     vals = df.groupBy(value.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    vals = vals.withColumn("__b", _bucket_expr(vals, _buckets(df)))
+    vals = vals.withColumn("__b", _bucket_expr(vals))
     local = Window.partitionBy("__b").orderBy(F.col("__v").desc_nulls_last())
     if dense:
         vals = vals.withColumn("__local", F.row_number().over(local) - 1)

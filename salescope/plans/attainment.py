@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as fn
 from ..operators.filters import quantity_filter, target_snapshot
+from ..operators.quarantine import amount, quarantine
 from ..operators.ranking import competition_rank_desc, dense_rank_desc
 from ..operators.totals import append_total
 from ..schema import DEFAULT_SNAPSHOT, TOTAL_LABEL, ZERO_TARGET_RATE_FILL
@@ -28,12 +29,13 @@ def _report_sums(fact: DataFrame, key: str, *, with_revenue: bool,
                  nonnegative_only: bool = False) -> DataFrame:
     """Profit (and revenue) per key over rows with a profit and quantity >= 1
     (P13, P7, P14). Amounts are summed as they are, as exact decimals, and the
-    sums rounded half-even to 2 once (F9)."""
+    sums rounded half-even to 2 once (F9). Text amounts are parsed (F7); those
+    that do not parse are not counted, and :func:`unparsed_amounts` lists them."""
     base = quantity_filter(fact.where(F.col("profit").isNotNull()))
-    amount = lambda c: F.sum(F.coalesce(F.col(c).try_cast(SUMMED_TYPE), F.lit(0))).cast("decimal(38,8)")
-    aggs = [amount("profit").alias("__profit")]
+    total = lambda c: F.sum(F.coalesce(amount(fact, c, SUMMED_TYPE), F.lit(0))).cast("decimal(38,8)")
+    aggs = [total("profit").alias("__profit")]
     if with_revenue:
-        aggs.append(amount("revenue").alias("__revenue"))
+        aggs.append(total("revenue").alias("__revenue"))
     sums = base.groupBy(F.col(key)).agg(*aggs)
     if nonnegative_only:                                     # P8 (HAVING), R6 only
         sums = sums.where(F.col("__profit") >= 0)
@@ -43,6 +45,13 @@ def _report_sums(fact: DataFrame, key: str, *, with_revenue: bool,
     return sums.select(*cols)
 
 
+def unparsed_amounts(fact: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """The amounts of the rows that the attainment reports count which are no
+    numbers: ``keys``, column, text, reason."""
+    base = quantity_filter(fact.where(F.col("profit").isNotNull()))
+    return quarantine(base, ["profit", "revenue"], keys or ["order_no", "product"], SUMMED_TYPE)
+
+
 def _with_targets(sums: DataFrame, targets: DataFrame, key: str, snapshot: int) -> DataFrame:
     t = target_snapshot(targets, snapshot)
     return sums.join(t, sums[key] == t["key"], "inner").drop(t["key"])   # J9

@@ -47,6 +47,23 @@ def cleaned(spark, d):
     return cl.clean_orders(tb.raw_orders(spark, d), tb.store_dim(spark, d), tb.goods_dim(spark, d))
 
 
+def cleaned_lines(spark, d):
+    """The cleaned orders alone, for reports that need no dimension."""
+    return cl.clean_orders(tb.raw_orders(spark, d))
+
+
+def cleaned_by_store(spark, d):
+    return cl.clean_orders(tb.raw_orders(spark, d), tb.store_dim(spark, d))
+
+
+def cleaned_by_product(spark, d):
+    return cl.clean_orders(tb.raw_orders(spark, d), None, tb.goods_dim(spark, d), goods_keys=("product",))
+
+
+def cleaned_by_store_and_product(spark, d):
+    return cl.clean_orders(tb.raw_orders(spark, d), tb.store_dim(spark, d), tb.goods_dim(spark, d), goods_keys=("product",))
+
+
 # ---------------------------------------------------------------- reports
 def q_platform_attainment(spark, d):
     return attainment.platform_attainment(collected(spark, d), tb.targets(spark, d, "platform"))
@@ -62,33 +79,37 @@ def q_operator_attainment(spark, d):
 
 def _target_status(kind: str) -> QueryFn:
     def q(spark, d):
-        return attainment.target_status(cleaned(spark, d), tb.targets(spark, d, kind), kind)
+        return attainment.target_status(cleaned_by_store(spark, d), tb.targets(spark, d, kind), kind)
     q.__name__ = f"q_target_status_{kind}"
     return q
 
 
 def q_store_week_compare(spark, d):
-    return presentable(compare.store_week_compare(cleaned(spark, d), tb.AS_OF))
+    return presentable(compare.store_week_compare(cleaned_lines(spark, d), tb.AS_OF))
 
 
 def q_product_week_compare(spark, d):
-    return presentable(compare.product_week_compare(cleaned(spark, d), tb.AS_OF))
+    return presentable(compare.product_week_compare(cleaned_lines(spark, d), tb.AS_OF))
 
 
 def q_store_dimension_week_compare(spark, d):
-    return presentable(compare.store_dimension_week_compare(cleaned(spark, d), tb.AS_OF))
+    return presentable(compare.store_dimension_week_compare(cleaned_by_product(spark, d), tb.AS_OF))
+
+
+def q_entity_dimension_week_compare(spark, d):
+    return presentable(compare.entity_dimension_week_compare(cleaned_by_store_and_product(spark, d), tb.AS_OF))
 
 
 def _store_movers(which: str) -> QueryFn:
     def q(spark, d):
-        cmp_ = compare.store_week_compare(cleaned(spark, d), tb.AS_OF)
+        cmp_ = compare.store_week_compare(cleaned_lines(spark, d), tb.AS_OF)
         return presentable(movers.store_movers(cmp_, tb.store_dim(spark, d), which))
     return q
 
 
 def _product_movers(which: str) -> QueryFn:
     def q(spark, d):
-        cmp_ = compare.product_week_compare(cleaned(spark, d), tb.AS_OF)
+        cmp_ = compare.product_week_compare(cleaned_lines(spark, d), tb.AS_OF)
         return presentable(movers.product_movers(cmp_, tb.goods_dim(spark, d), which))
     return q
 
@@ -131,6 +152,7 @@ REPORTS: dict[str, QueryFn] = {
     "store_week_compare": q_store_week_compare,
     "product_week_compare": q_product_week_compare,
     "store_dimension_week_compare": q_store_dimension_week_compare,
+    "entity_dimension_week_compare": q_entity_dimension_week_compare,
     "store_movers_top": _store_movers("top"),
     "store_movers_bottom": _store_movers("bottom"),
     "product_movers_top": _product_movers("top"),
@@ -143,5 +165,6 @@ REPORTS: dict[str, QueryFn] = {
 
 
 def all_queries() -> dict[str, QueryFn]:
+    from .feature_queries import FEATURES
     from .operator_queries import OPERATORS
-    return {**REPORTS, **OPERATORS}
+    return {**REPORTS, **OPERATORS, **FEATURES}

@@ -5,10 +5,9 @@ joined the two; the per-store report did that in nested driver loops
 (stores x 3 dimensions x 2 periods x 2 group-bys). Here one range filter over
 the 14 days feeds ONE conditional aggregation per key: per-period row counts
 tell a key absent from a period (outer-join null) apart from a key present
-with zero sums (Q15). The per-store report explodes the three dimensions in
-the same scan and aggregates (store, dimension, value) in one shuffle; the
-all-store baseline means come from that aggregate through a window
-partitioned by (dimension, value), so the fact is scanned once.
+with zero sums (Q15). The per-store report sums each combination of store and
+dimension columns once and expands those sums into all its groupings, the
+all-store baseline among them, so the fact is scanned once.
 
 Averages are ``sum / count`` in double precision, rounded half-up to 2 places
 through a decimal, so they are reproducible in any engine.
@@ -18,7 +17,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numeric as fn
@@ -30,11 +29,18 @@ from ..schema import COMPARE_DIMENSIONS, MEASURES, TOTAL_LABEL
 PERIODS = ("new", "old")
 
 
-def _period_aggs(measures: list[str]) -> list:
-    """Per period: row count, and per measure its sum and non-null count."""
+def _period_aggs(measures: list[str], states: bool = False) -> list:
+    """Per period: row count, and per measure its sum and non-null count, of
+    rows or of ``plans.states`` that hold those of many rows."""
     aggs = []
     for p in PERIODS:
         cond = F.col("is_new") if p == "new" else ~F.col("is_new")
+        if states:
+            total = lambda c: F.coalesce(F.sum(F.when(cond, F.col(c))), F.lit(0).cast("bigint"))  # noqa: B023, E731
+            aggs.append(total("n_rows").alias(f"__n_{p}"))
+            for m in measures:
+                aggs += [F.sum(F.when(cond, F.col(f"sum_{m}"))).alias(f"__sum_{m}_{p}"), total(f"n_{m}").alias(f"__cnt_{m}_{p}")]
+            continue
         aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"__n_{p}"))
         for m in measures:
             v = F.when(cond, F.col(m))
@@ -42,6 +48,10 @@ def _period_aggs(measures: list[str]) -> list:
     return aggs
 
 
+def state_columns(measures: list[str]) -> list[str]:
+    return ["n_rows", *[f"{k}_{m}" for m in measures for k in ("sum", "n")]]
+
+
 def _present(p: str):
     return F.col(f"__n_{p}") > 0
 
@@ -89,15 +99,16 @@ def _sum_columns(measures: list[str]) -> list[str]:
 
 
 def week_compare(fact: DataFrame, key: str, as_of: _dt.date, *,
-                 measures: list[str] = MEASURES, sort: bool = True) -> DataFrame:
-    """R10 (key = store, names lower-cased first) / R11 (key = product).
+                 measures: list[str] = MEASURES, sort: bool = True, states: bool = False) -> DataFrame:
+    """R10 (key = store, names lower-cased first) / R11 (key = product), of the
+    fact's rows or of its daily ``states``.
 
     Columns: key, {profit, revenue, quantity}_{new,old}, margin_{new,old},
     avg_{profit, revenue, quantity}_{new,old}, growth, growth_rate, is_total.
     """
     src = fact.withColumn(key, F.lower(F.col(key))) if key == "store" else fact
     sl = period_slice(src, as_of).where(F.col(key).isNotNull())
-    agg = sl.groupBy(key).agg(*_period_aggs(measures))
+    agg = sl.groupBy(key).agg(*_period_aggs(measures, states))
     rows = agg.select(*_compare_columns([key], measures, baseline=False))
     rows = _finish_compare(rows, key, measures)
     total = sheet_total_rows(rows, key, _sum_columns(measures), round_scale=2)
@@ -115,50 +126,52 @@ def product_week_compare(fact: DataFrame, as_of: _dt.date) -> DataFrame:
     return week_compare(fact, "product", as_of)
 
 
-def store_dimension_week_compare(fact: DataFrame, as_of: _dt.date, *,
-                                 dimensions: dict[str, str] = COMPARE_DIMENSIONS,
-                                 measures: list[str] = MEASURES,
-                                 stores: DataFrame | None = None) -> DataFrame:
-    """For every store and each dimension (product, brand, category), the
-    store's per-value comparison with the all-store mean of the value as
-    baseline (Q21), plus one total row per (store, dimension) for every store
-    of the whole fact, idle ones included (Q27).
+#: columns by which the per-entity comparison can be asked for
+ENTITIES = ("store", "platform", "operator")
 
-    Columns: store, dimension, value, the week_compare measures, is_total.
-    ``stores`` overrides where the store list comes from (e.g. when ``fact``
-    is already cut to the two periods).
-    Not globally sorted: write it partitioned by store and dimension and sort
-    within partitions (see ``sinks.write_partitioned``).
+
+def entity_dimension_week_compare(fact: DataFrame, as_of: _dt.date, *, entities: tuple[str, ...] = ENTITIES,
+                                  dimensions: dict[str, str] = COMPARE_DIMENSIONS, measures: list[str] = MEASURES,
+                                  members: DataFrame | None = None, states: bool = False) -> DataFrame:
+    """The per-value comparison of every store, platform and operator (P11, A6,
+    A12): each entity's sums per product, brand and category against the mean
+    of the value over all rows (Q21), plus a total row per (entity, dimension)
+    for every entity of the whole fact, idle ones included (Q27).
+
+    Columns: entity, key, dimension, value, the week_compare measures, is_total.
+    Rows are first summed per combination of the columns in use, and one
+    expand of those sums gives every (entity, dimension) grouping and the
+    (dimension) groupings alike. The means, one row per value, are joined
+    back: a value has one row per entity by then, however many rows of the
+    fact hold it, and what is still skewed is split by its measured size.
+    ``members`` holds the entity columns where ``fact`` is already cut to the
+    two periods.
     """
-    src = fact.withColumn("store", F.lower(F.col("store")))
-    sl = period_slice(src, as_of)
-    dim_struct = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("dimension"), F.col(col).cast("string").alias("value"))
-        for name, col in dimensions.items()])).alias("__d")
-    long = (sl.select("store", "is_new", *measures, dim_struct)
-              .select("store", "is_new", *measures, "__d.dimension", "__d.value")
-              .where(F.col("value").isNotNull()))
-    # one aggregate at (store, dimension, value); a null store stays in as its
-    # own group so that it counts towards the all-store baseline
-    agg = long.groupBy("store", "dimension", "value").agg(*_period_aggs(measures))
-    w = Window.partitionBy("dimension", "value")
-    base = {}
-    for p in PERIODS:
-        for m in measures:
-            base[f"__bsum_{m}_{p}"] = F.sum(f"__sum_{m}_{p}").over(w)
-            base[f"__bcnt_{m}_{p}"] = F.sum(f"__cnt_{m}_{p}").over(w)
-    agg = agg.withColumns(base).where(F.col("store").isNotNull())
-    rows = agg.select(*_compare_columns(["store", "dimension", "value"], measures, baseline=True))
-    rows = _finish_compare(rows, "value", measures, group_cols=("store", "dimension"))
+    by_name = {name: f"__v_{name}" for name in dimensions}
+    keys = [F.lower(F.col(e)).alias(e) if e == "store" else F.col(e) for e in entities]
+    sl = period_slice(fact, as_of).select(
+        *keys, "is_new", *(state_columns(measures) if states else measures), *[F.col(c).cast("string").alias(by_name[n]) for n, c in dimensions.items()])
+    sums = sl.groupBy(*entities, *by_name.values()).agg(*_period_aggs(measures, states))
+    measured = [f"__n_{p}" for p in PERIODS] + [f"__{k}_{m}_{p}" for p in PERIODS for m in measures for k in ("sum", "cnt")]
+    # one row per (entity column, dimension column) and one per dimension column, of every combination's sums
+    sets = F.explode(F.array(*[
+        F.struct(F.lit(e).cast("string").alias("entity"), (F.col(e) if e else F.lit(None)).cast("string").alias("key"),
+                 F.lit(n).alias("dimension"), F.col(v).alias("value"))
+        for e in (None, *entities) for n, v in by_name.items()])).alias("__s")
+    grouped = (sums.select(sets, *measured).select("__s.*", *measured).where("value is not null and (entity is null or key is not null)")
+                   .groupBy("entity", "key", "dimension", "value").agg(*[F.sum(c).alias(c) for c in measured]))
+    base = grouped.where("entity is null").select("dimension", "value", *[F.col(c).alias(c.replace("__", "__b", 1)) for c in measured if not c.startswith("__n_")])
+    rows = grouped.where("entity is not null")
+    rows = rows.join(base, ["dimension", "value"]).select(*_compare_columns(["entity", "key", "dimension", "value"], measures, baseline=True))
+    rows = _finish_compare(rows, "value", measures, group_cols=("entity", "key", "dimension"))
 
     sum_cols = _sum_columns(measures)
-    totals = sheet_total_rows(rows, "value", sum_cols, group_cols=("store", "dimension"), round_scale=2)
-    if stores is None:      # the store list comes from the whole fact (Q27)
-        stores = fact.select("store")
-    stores = stores.select(F.lower(F.col("store")).alias("store")).where(F.col("store").isNotNull()).distinct()
-    grid = stores.select("store", F.explode(F.array(*[F.lit(n) for n in dimensions])).alias("dimension"))
-    # every store of the whole fact gets its totals; an idle store's are 0
-    totals = grid.join(totals.drop("value", "is_total"), ["store", "dimension"], "left")
+    totals = sheet_total_rows(rows, "value", sum_cols, group_cols=("entity", "key", "dimension"), round_scale=2)
+    listed = (fact if members is None else members).select(*keys)
+    grid = (listed.select(F.explode(F.array(*[F.struct(F.lit(e).alias("entity"), F.col(e).cast("string").alias("key")) for e in entities])).alias("__e"))
+                  .select("__e.*").where("key is not null").distinct()
+                  .select("entity", "key", F.explode(F.array(*[F.lit(n) for n in dimensions])).alias("dimension")))
+    totals = grid.join(totals.drop("value", "is_total"), ["entity", "key", "dimension"], "left")
     totals = totals.withColumns({
         "value": F.lit(TOTAL_LABEL),
         "is_total": F.lit(True),
@@ -167,6 +180,22 @@ def store_dimension_week_compare(fact: DataFrame, as_of: _dt.date, *,
     return append_total(rows, totals.select(*rows.columns))
 
 
+def store_dimension_week_compare(fact: DataFrame, as_of: _dt.date, *,
+                                 dimensions: dict[str, str] = COMPARE_DIMENSIONS,
+                                 measures: list[str] = MEASURES,
+                                 stores: DataFrame | None = None, states: bool = False) -> DataFrame:
+    """The per-value comparison of every store.
+
+    Columns: store, dimension, value, the week_compare measures, is_total.
+    ``stores`` overrides where the store list comes from (e.g. when ``fact``
+    is already cut to the two periods). Not globally sorted: write it
+    partitioned by store and dimension and sort within partitions (see
+    ``sinks.write_partitioned``).
+    """
+    out = entity_dimension_week_compare(fact, as_of, entities=("store",), dimensions=dimensions, measures=measures, members=stores, states=states)
+    return out.drop("entity").withColumnRenamed("key", "store")
+
+
 def week_reports(fact: DataFrame, as_of: _dt.date) -> dict[str, DataFrame]:
     """R10, R11 and R12 for one anchor date from ONE slice of the fact.
 

@@ -200,7 +200,7 @@ def sheet_ratio(n: str, d: str) -> str:
 def sheet_pct(r: str) -> str:
     return (f"(CASE WHEN {r} = CAST('inf' AS DOUBLE) THEN 'inf%' "
             f"WHEN {r} = CAST('-inf' AS DOUBLE) THEN '-inf%' "
-            f"ELSE CAST(CAST(round(TRY_CAST({r} * 100 AS DECIMAL(38,6)), 2) AS DECIMAL(38,2)) AS VARCHAR) || '%' END)")
+            f"ELSE printf('%.2f', {r} * 100) || '%' END)")
 
 
 def d(x: _dt.date) -> str:
@@ -390,6 +390,35 @@ SELECT {_present_cols(['store', 'dimension', 'value'])} FROM u"""
     return with_ctes(*base_ctes(clean=True), body=body)
 
 
+def entity_compare_sql() -> str:
+    """The per-value comparison of stores, platforms and operators."""
+    entities = ("store", "platform", "operator")
+    lines = " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, CAST({e} AS VARCHAR) AS key, is_new, profit, revenue, quantity, '{name}' AS dimension, CAST({col} AS VARCHAR) AS value FROM sl"
+        for e in entities for name, col in DIMENSIONS.items())
+    base = ", ".join(f"sum(s_{m}_{p}) OVER w AS bs_{m}_{p}, sum(c_{m}_{p}) OVER w AS bc_{m}_{p}" for p in PERIODS for m in MEASURES)
+    tot = ", ".join(f"round(sum({c}), 2) AS {c}" for c in SUM_COLS)
+    fill = ", ".join(f"COALESCE(t.{c}, 0) AS {c}" for c in SUM_COLS)
+    text_nulls = "CAST(NULL AS VARCHAR) AS margin_new, CAST(NULL AS VARCHAR) AS margin_old, CAST(NULL AS VARCHAR) AS growth_rate"
+    dims = ", ".join(f"('{n}')" for n in DIMENSIONS)
+    keys = ["entity", "key", "dimension", "value"]
+    members = " UNION ".join(f"SELECT '{e}' AS entity, {f'lower({e})' if e == 'store' else e} AS key FROM clean WHERE {e} IS NOT NULL" for e in entities)
+    body = f"""
+sl AS (SELECT * REPLACE (lower(store) AS store), order_date >= {d(period_bounds(AS_OF)['new_start'])} AS is_new FROM clean
+       WHERE order_date BETWEEN {d(period_bounds(AS_OF)['old_start'])} AND {d(period_bounds(AS_OF)['new_end'])}),
+lng AS (SELECT * FROM ({lines}) x WHERE value IS NOT NULL),
+agg0 AS (SELECT {", ".join(keys)}, {_period_aggs()} FROM lng GROUP BY {", ".join(keys)}),
+agg AS (SELECT agg0.*, {base} FROM agg0 WINDOW w AS (PARTITION BY entity, dimension, value)),
+rows AS (SELECT {_compare_cols(keys, bprefix='b')}, false AS is_total FROM agg WHERE key IS NOT NULL),
+tots AS (SELECT entity, key, dimension, {tot} FROM rows GROUP BY entity, key, dimension),
+grid AS (SELECT m.entity, m.key, v.dimension FROM ({members}) m, (VALUES {dims}) v(dimension)),
+tot AS (SELECT g.entity, g.key, g.dimension, '{TOTAL_LABEL}' AS value, {fill}, {text_nulls}, true AS is_total
+        FROM grid g LEFT JOIN tots t ON g.entity = t.entity AND g.key = t.key AND g.dimension = t.dimension),
+u AS (SELECT * FROM rows UNION ALL BY NAME SELECT * FROM tot)
+SELECT {_present_cols(keys)} FROM u"""
+    return with_ctes(*base_ctes(clean=True), body=body)
+
+
 def movers_sql(kind: str, which: str) -> str:
     if kind == "store":
         inner = week_compare_sql("store")
@@ -455,6 +484,7 @@ def report_sql() -> dict[str, str]:
         "store_week_compare": week_compare_sql("store"),
         "product_week_compare": week_compare_sql("product"),
         "store_dimension_week_compare": store_dimension_compare_sql(),
+        "entity_dimension_week_compare": entity_compare_sql(),
         "store_movers_top": movers_sql("store", "top"),
         "store_movers_bottom": movers_sql("store", "bottom"),
         "product_movers_top": movers_sql("product", "top"),
@@ -467,5 +497,6 @@ def report_sql() -> dict[str, str]:
 
 
 def all_sql() -> dict[str, str]:
+    from .feature_queries import feature_sql
     from .operator_queries import operator_sql
-    return {**report_sql(), **operator_sql()}
+    return {**report_sql(), **operator_sql(), **feature_sql()}

@@ -38,6 +38,35 @@ RAW_ORDER_COLS = [
     "capital_cost", "profit", "warehouse", "country", "tracking_no",
     "payment_status",
 ]
+# The labels that the stores' own files give these columns.
+FILE_LABELS = {
+    "order_date": "订单时间",
+    "ship_date": "发货时间",
+    "store": "店铺",
+    "order_no": "订单号",
+    "product": "产品",
+    "product2": "产品2",
+    "quantity": "数量",
+    "unit_price": "零售单价",
+    "currency1": "币种1",
+    "commission_rate": "佣金比例",
+    "settle_total": "结算总额",
+    "currency2": "币种2",
+    "unit_price_cny": "零售单价¥",
+    "revenue": "结算金额￥",
+    "cost_price": "成本价",
+    "currency3": "币种3",
+    "cost_total": "成本总价￥",
+    "handling_fee": "蚂蚁操作费",
+    "freight_first": "头/全程运费￥",
+    "freight_last": "尾程运费￥",
+    "capital_cost": "资金成本",
+    "profit": "毛利￥",
+    "warehouse": "发货仓位",
+    "country": "收件人国家",
+    "tracking_no": "物流单号",
+    "payment_status": "回款情况",
+}
 DIM_COLS = ["platform", "department", "operator"]
 ORDER_COLS = RAW_ORDER_COLS + DIM_COLS          # 29 positional columns
 

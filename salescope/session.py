@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -89,5 +90,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/salescope/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SHIPPED: set[tuple] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's source to the session's executors, once a session.
+
+    Functions that run in Python workers are pickled by reference, so a worker
+    must be able to import the package; on a cluster, or when the driver was
+    started from another folder, nothing else puts it on its path.
+    """
+    key = session_key(spark)
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    name = os.path.basename(root)
+    from pyspark import SparkFiles
+    folder = os.path.join(SparkFiles.getRootDirectory(), "src")          # Spark's own, gone with the session
+    os.makedirs(folder, exist_ok=True)
+    made = os.path.join(folder, f"{name}.zip")
+    with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as z:
+        for at, dirs, files in os.walk(root):
+            dirs[:] = sorted(d for d in dirs if d != "__pycache__")
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    path = os.path.join(at, f)
+                    z.write(path, os.path.join(name, os.path.relpath(path, root)))
+    spark.sparkContext.addPyFile(made)                                   # served by the driver
+    _SHIPPED.add(key)
+
+
 def local_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"

@@ -28,17 +28,30 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite",
     out.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
 
 
+#: rows of a directory that go to one file, and directories with more of them that are held on the driver
+FILE_ROWS = 1_000_000
+MOST_LARGE = 100_000
+
+
 def write_partitioned(df: DataFrame, path: str, by: list[str], *, fmt: str = "parquet",
-                      mode: str = "overwrite", sort_within: list[Column | str] | None = None, spread: int = 8) -> None:
+                      mode: str = "overwrite", sort_within: list[Column | str] | None = None, file_rows: int = FILE_ROWS) -> None:
     """Fan-out (K8): one directory per value of ``by`` (e.g. per store and
-    dimension), written by one job. Rows are clustered by the partition keys
-    and one of ``spread`` hashes of the other columns, so a directory has at
-    most ``spread`` files and a key with many rows is not one task; order
-    holds within each file."""
+    dimension), written by one job. A histogram of rows per directory, which
+    reads the columns of ``by`` alone, decides its number of files: a directory
+    with more than ``file_rows`` rows is dealt to as many tasks and files as it
+    needs, others are one file. Order holds within each file."""
+    spark = df.sparkSession
+    counts = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / file_rows).cast("int").alias("__files")).where("__files > 1")
+    large = counts.limit(MOST_LARGE + 1).collect()                  # rows / file_rows of them at most
+    held = F.broadcast(spark.createDataFrame(large, counts.schema)) if len(large) <= MOST_LARGE else counts
     rest = [c for c in df.columns if c not in by]
-    spot = [F.pmod(F.xxhash64(*rest), F.lit(spread))] if rest and spread > 1 else []
-    out = df.repartition(*by, *spot)
-    out = out.sortWithinPartitions(*by, *(sort_within or []))
+    out = df.withColumn("__file", F.lit(0))
+    if large:
+        # null keys match their own counts
+        held = held.select(F.struct(*by).alias("__by"), "__files")
+        out = df.join(held, F.struct(*[df[c] for c in by]).eqNullSafe(held["__by"]), "left").withColumn(
+            "__file", F.pmod(F.xxhash64(*rest), F.coalesce("__files", F.lit(1)))).drop("__by", "__files")
+    out = out.repartition(*by, "__file").drop("__file").sortWithinPartitions(*by, *(sort_within or []))
     out.write.mode(mode).format(fmt).partitionBy(*by).save(path)
 
 

@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import ORDER_COLS, RAW_ORDER_COLS, TARGET
-from ..session import default_parallelism, shared_dir
-
-CORRUPT = "_corrupt_record"
+from ..session import default_parallelism
+from .order_files import read_named_orders
 
 
 def _strings(cols: list[str]) -> T.StructType:
@@ -46,41 +45,13 @@ def read_order_files_checked(spark: SparkSession, path: str, *,
                              columns: list[str] = RAW_ORDER_COLS,
                              header_names: list[str] | None = None,
                              glob: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Bad-file tolerance (S2): a file that lacks a required column (its
-    header line is not ``header_names``) or has a malformed line is rejected
-    whole and reported; the other files are read. A damaged file (one that
-    cannot be decompressed to its end) fails the run by name.
-
-    One header-less parse does both checks: the header line arrives as a row
-    and is recognised by value, so no second pass over the files is needed.
-    Returns (rows of good files, rejected files with ``bad_lines`` and
-    ``header_lines``). The rejected list is small (one row per file) and is
-    what joins back, so no file's rows pass through the driver.
-    """
-    names = header_names or columns
-    schema = T.StructType(_strings(columns).fields + [T.StructField(CORRUPT, T.StringType())])
-    reader = (spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    df = reader.csv(path).withColumn("source_file", F.input_file_name())
-    # Spark refuses to query the corrupt-record column of a raw scan on its
-    # own; the parse is materialised once into the shared checkpoint folder
-    # (reliable, survives executor loss) and both outputs read from there.
-    shared_dir(spark)
-    df = df.checkpoint(eager=True)
-    is_header = F.lit(True)
-    for c, n in zip(columns, names):
-        is_header = is_header & F.coalesce(F.trim(F.col(c)) == F.lit(n), F.lit(False))
-    flagged = df.withColumns({"__bad": F.col(CORRUPT).isNotNull().cast("int"),
-                              "__hdr": is_header})
-    per_file = flagged.groupBy("source_file").agg(
-        F.sum("__bad").alias("bad_lines"), F.sum(F.col("__hdr").cast("int")).alias("header_lines"))
-    ok_files = per_file.where((F.col("bad_lines") == 0) & (F.col("header_lines") >= 1))
-    rejected = per_file.where((F.col("bad_lines") > 0) | (F.col("header_lines") == 0))
-    good = (flagged.join(ok_files.select("source_file"), "source_file", "left_semi")
-                   .where(~F.col("__hdr")).drop("__bad", "__hdr", CORRUPT))
-    return good, rejected
+    """Bad-file tolerance (S2): (rows of good files with ``source_file``,
+    rejected files with ``bad_lines`` and ``reason``). Columns are taken by
+    the labels of each file's header (``order_files.read_named_orders``);
+    ``header_names`` are the labels of ``columns``."""
+    labels = dict(zip(columns, header_names)) if header_names else None
+    found = read_named_orders(spark, path, columns=columns, labels=labels, glob=glob)
+    return found.rows.select(*columns, "source_file"), found.rejected().select("source_file", "bad_lines", "reason")
 
 
 def scan_splits(df: DataFrame) -> int | None:

@@ -70,7 +70,7 @@ def test_fan_out_splits_a_large_key(spark):
     before = spark.conf.get(merge)
     spark.conf.set(merge, "false")
     try:
-        write_partitioned(df, d, ["store"], sort_within=["growth"], spread=4)
+        write_partitioned(df, d, ["store"], sort_within=["growth"], file_rows=1000)
     finally:
         spark.conf.set(merge, before)
     files = [os.path.join(d, "store=s1", f) for f in os.listdir(os.path.join(d, "store=s1")) if f.endswith(".parquet")]
