@@ -1,8 +1,12 @@
 """The operators on pages: main text and url verdicts."""
 
+import collections
 import html
+import random
 import re
+import time
 
+import numpy as np
 import pytest
 
 from salescope.llm import html_extract, queries, url_filter
@@ -77,3 +81,102 @@ def test_scores_follow_links(spark):
         distrust = {h: 0.15 * (h == "bad.net") + 0.85 * sum(distrust[d] / len(into[d]) for d in out.get(h, [])) for h in hosts}
     for h in hosts:
         assert got[h][0] == pytest.approx(trust[h], abs=1e-3) and got[h][1] == pytest.approx(distrust[h], abs=1e-3)
+
+
+@pytest.mark.parametrize("part", ["<a ", "<a \"", "<a '>", "<title>", "<!--", "<article>", "<p><li>", "<div class=has-ad><article>", "&amp", "<main><div class=ad>", "<b"])
+def test_a_malformed_page_takes_linear_time(part):
+    seconds = []
+    for size in (1 << 18, 1 << 20):
+        page = part * (size // len(part))
+        begin = time.perf_counter()
+        html_extract.blocks_of(page)
+        seconds.append(time.perf_counter() - begin)
+    assert seconds[1] < max(12 * seconds[0], 0.5)
+
+
+@pytest.mark.parametrize("page, text", [
+    ("<article>Story</article><article class='comment'>no</article>", "Story"),
+    ("<article>Story</article><section class='related-posts'><article>teaser</article></section>", "Story"),
+    ("<article>own <article>a comment</article>more</article>", "own more"),
+    ("<article>We have <math>x</math> here <svg><text>s</text></svg></article>", "We have x here s"),
+    ("<article>a <noscript>b <p>the rest", "a b the rest"),
+    ("<article><div class='legal'>The terms are these.</div></article>", "The terms are these."),
+    ("<article>story<div class='legal'>terms</div></article>", "story"),
+    ("<form id='aspnetForm'><div class='page has-sidebar'><article>only</article></div></form>", "only"),
+    ("<main><article>a</article></main><article>b</article>", "a b"),
+    ("<article class='post has-comments'>kept</article>", "kept"),
+    ("<title>never closed <article>a <b title='x>y'>b</b> <i title=\"unclosed>c</article>", "a b c"),
+    ("<article>1 < 2 <> 3 </ 4 <5></article>", "1 < 2 <> 3 </ 4 <5>"),
+])
+def test_what_is_text(page, text):
+    assert html_extract.main_text(page) == text
+
+
+def words(name, n):
+    return " ".join(f"{name}{i}" for i in range(n))
+
+
+def extracted(spark, rows):
+    pages = spark.createDataFrame([(i, f"http://{h}/{i}", p) for i, (h, p) in enumerate(rows)], "page_id long, url string, html string")
+    return [r["text"] for r in sorted(html_extract.extract_main_text(pages).collect(), key=lambda r: r["page_id"])]
+
+
+def test_notice_inside_articles_goes_and_copies_stay(spark):
+    notice = words("notice", 120)
+    own = [words(f"own{i}x", 25) for i in range(5)]
+    copy, edited = words("copy", 80), [words("copy", 80).replace("copy17 ", f"edit{i} ") for i in range(6)]
+    passage = words("passage", 60)
+    rows = [("a", f"<article><p>{notice}</p><p>{x}</p></article>") for x in own]                      # a notice of the whole host
+    rows += [("b", f"<nav>{i}</nav><article><p>{copy}</p></article>") for i in range(6)]              # exact copies
+    rows += [("c", f"<article><p>{x}</p></article>") for x in edited]                                 # near copies
+    rows += [("d", f"<article><p>{words(f'd{i}x', 30)}</p>" + (f"<p>{passage}</p>" if i < 4 else "") + "</article>") for i in range(10)]    # some quote a passage
+    rows += [("e", f"<article><p>{notice}</p></article>")]                                            # another host
+    got = extracted(spark, rows)
+    assert got[:5] == own and got[5:11] == [copy] * 6 and got[11:17] == edited and got[-1] == notice
+    assert got[17:27] == [words(f"d{i}x", 30) + (f" {passage}" if i < 4 else "") for i in range(10)]
+
+
+def test_host_text_without_articles(spark):
+    notice = words("notice", 120)
+    rows = [("a", f"<div>Home | About</div><div>{notice} {words(f'own{i}x', 25)}</div><div>All rights reserved 2020</div>") for i in range(5)]
+    rows += [("b", f"<div>{words('shared', 40)}</div><div>{words(f'b{i}x', 9 if i < 2 else 12)}</div>") for i in range(2)] * 2       # two contents, copied
+    rows += [("c", f"<div>{words('pair', 40) if i < 2 else words(f'c{i}x', 40)}</div>") for i in range(6)]                           # two of five contents alike
+    got = extracted(spark, rows)
+    assert got[:5] == [words(f"own{i}x", 25) for i in range(5)]
+    assert got[5:9] == [words(f"b{i}x", 9) for i in range(2)] * 2
+    assert got[9:] == [words("pair", 40)] * 2 + [words(f"c{i}x", 40) for i in range(2, 6)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_host_runs_against_brute_force(spark, seed):
+    """Which words of undecided blocks stay, by comparing every run of every two contents."""
+    rng = random.Random(seed)
+    k = html_extract.MIN_RUN
+    parts = [words(f"s{seed}p{j}x", rng.randint(3, 20)) for j in range(6)]
+    pages = []
+    for i in range(12):
+        bits = [rng.choice(parts) if rng.random() < 0.6 else words(f"u{seed}q{i}r{j}x", rng.randint(1, 15)) for j in range(rng.randint(1, 5))]
+        pages.append([" ".join(bits[j:j + 2]) for j in range(0, len(bits), 2)])
+    contents = sorted({tuple(p) for p in pages})
+    streams = [" ".join(c).split(" ") for c in contents]
+    runs = collections.Counter(r for s in streams for r in {tuple(s[i:i + k]) for i in range(len(s) - k + 1)})
+    blocks = collections.Counter(b for c in contents for b in set(c))
+    for r, n in blocks.items():                                       # a block as long as a run is one
+        if len(r.split(" ")) == k:
+            runs[tuple(r.split(" "))] = max(n, runs[tuple(r.split(" "))])
+    want = []
+    for p in pages:
+        s = " ".join(p).split(" ")
+        told = lambda n: n >= 3 or n > len(contents) / 2 and n > 1
+        mark = np.zeros(len(s) + k, bool)
+        for i in range(len(s) - k + 1):
+            mark[i:i + k] |= told(runs[tuple(s[i:i + k])])
+        at, out = 0, []
+        for b in p:
+            n = len(b.split(" "))
+            if not (blocks[b] >= 3 and blocks[b] > len(contents) / 2):
+                m = html_extract._whole_runs(mark[at:at + n])
+                out.append(" ".join(x for x, y in zip(b.split(" "), m) if not y))
+            at += n
+        want.append(" ".join(x for x in out if x))
+    assert extracted(spark, [("h", "".join(f"<div>{b}</div>" for b in p)) for p in pages]) == want
