@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, few, mix, signed, slices, staged
+from .common import BROADCAST_ROWS, Words, few, mix, signed, slices, staged
 
 #: words of the shortest repeated run that counts as boilerplate
 MIN_RUN = 8
@@ -265,7 +265,7 @@ def main_text(page: str) -> str | None:
     return " ".join(b for b, where in blocks if where == "main") if any(where == "main" for _, where in blocks) else None
 
 
-_PARSED = "page_id long, url string, host string, blocks array<string>, kinds array<int>, content long"
+_PARSED = "page_id long, url string, host long, blocks array<string>, kinds array<int>, content long"
 #: how a block is taken: not at all, by the host's word runs, as text unless it is a notice of most of the host
 _NOT, _OPEN, _TEXT = 0, 1, 2
 
@@ -335,7 +335,7 @@ def counted_runs(parsed: DataFrame) -> DataFrame:
     run is MIN_RUN words of a stream or a whole block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, host = np.unique(np.array(batch.column("host").to_pylist(), object), return_inverse=True)
+            host = np.asarray(batch.column("host"))
             content = np.asarray(batch.column("content"))
             w, page, kinds, block = _streams(batch)
             runs, owner, _ = _page_runs(w, page, kinds)
@@ -347,9 +347,9 @@ def counted_runs(parsed: DataFrame) -> DataFrame:
             runs, owner = runs[order], owner[order]
             h, c = host[owner], content[owner]
             first = np.concatenate([[True], (runs[1:] != runs[:-1]) | (h[1:] != h[:-1]) | (c[1:] != c[:-1])])[:len(runs)]
-            yield pa.RecordBatch.from_arrays([pa.array(hosts[h[first]], pa.string()), pa.array(signed(runs[first])), pa.array(c[first])], ["host", "run", "content"])
+            yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(signed(runs[first])), pa.array(c[first])], ["host", "run", "content"])
 
-    rows = parsed.select("host", "blocks", "kinds", "content").mapInArrow(run, "host string, run long, content long")
+    rows = parsed.select("host", "blocks", "kinds", "content").mapInArrow(run, "host long, run long, content long")
     return rows.distinct().groupBy("host", "run").agg(F.count("*").alias("contents")).filter("contents > 1")
 
 
@@ -365,7 +365,7 @@ def extract_main_text(pages: DataFrame, evidence: Evidence = Evidence()) -> Data
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"://([^/?#]*)", 1))
     rows = pages.select(
         pages["page_id"].cast("long").alias("page_id"), pages["url"].cast("string").alias("url"),
-        F.coalesce(pages["html"].cast("string"), F.lit("")).alias("html")).withColumn("host", host)
+        F.coalesce(pages["html"].cast("string"), F.lit("")).alias("html")).withColumn("host", F.xxhash64(host))
     parsed = staged(parse(rows).withColumn("row", F.monotonically_increasing_id()), "html-blocks")
     sizes = parsed.groupBy("host").agg(F.count_distinct("content").alias("of"))
     runs = staged(counted_runs(parsed), "html-runs")
@@ -377,7 +377,7 @@ def extract_main_text(pages: DataFrame, evidence: Evidence = Evidence()) -> Data
         "host", "run", (by_words.cast("int") + 2 * by_block.cast("int") + 4 * in_text.cast("int")).alias("told")), "html-told")
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(row, host, run, at) of what may go: word runs at their place in the page's stream, blocks below zero."""
+        """(row, host, run, at, matters) of what may go: word runs at their place in the page's stream, blocks below zero."""
         for batch in batches:
             w, page, kinds, block = _streams(batch)
             runs, owner, place = _page_runs(w, page, kinds)
@@ -387,21 +387,29 @@ def extract_main_text(pages: DataFrame, evidence: Evidence = Evidence()) -> Data
             size = np.diff(w.first)
             counts = (size > 0) & ((kinds == _OPEN) | (kinds == _TEXT) & (size >= MIN_RUN))
             nth = np.arange(len(page)) - np.searchsorted(page, page)
+            matters = np.concatenate([np.ones(len(runs), np.int32), np.where(kinds[counts] == _TEXT, 4, 2).astype(np.int32)])
             runs, owner = np.concatenate([runs, block[counts]]), np.concatenate([owner, page[counts]])
             place = np.concatenate([place, -1 - nth[counts]])
-            hosts = np.array(batch.column("host").to_pylist(), object)
-            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(batch.column("row"))[owner]), pa.array(hosts[owner], pa.string()), pa.array(signed(runs)),
-                                              pa.array(place, pa.int64())], ["row", "host", "run", "at"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.asarray(batch.column("row"))[owner]), pa.array(np.asarray(batch.column("host"))[owner]), pa.array(signed(runs)),
+                                              pa.array(place, pa.int64()), pa.array(matters)], ["row", "host", "run", "at", "matters"])
 
-    hits = parsed.select("row", "host", "blocks", "kinds").mapInArrow(asked, "row long, host string, run long, at long").join(few(told), ["host", "run"])
-    hits = hits.groupBy("row").agg(F.collect_list(F.struct("at", "told")).alias("hits"))
+    hits = parsed.select("row", "host", "blocks", "kinds").mapInArrow(asked, "row long, host long, run long, at long, matters int").join(few(told), ["host", "run"])
+    hits = hits.where(F.col("told").bitwiseAND(F.col("matters")) > 0).groupBy("row").agg(F.collect_list(F.struct("at", "told")).alias("hits"))
+    hits = staged(hits, "html-hits")
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [kept_text(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("blocks", "kinds", "hits")))]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
-    out = parsed.join(hits, "row", "left").select("page_id", "url", "blocks", "kinds", "hits").mapInArrow(final, "page_id long, url string, text string")
+    columns, schema = ("page_id", "url", "blocks", "kinds", "hits"), "page_id long, url string, text string"
+    if hits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:       # only pages that lose something are moved
+        rows_hit = F.broadcast(hits.select("row"))
+        untouched = parsed.join(rows_hit, "row", "left_anti").withColumn("hits", F.lit(None).cast(hits.schema["hits"].dataType))
+        touched = parsed.join(rows_hit, "row", "left_semi").join(hits, "row")
+        out = untouched.select(*columns).unionAll(touched.select(*columns)).mapInArrow(final, schema)
+    else:
+        out = parsed.join(hits, "row", "left").select(*columns).mapInArrow(final, schema)
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
