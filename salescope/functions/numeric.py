@@ -106,8 +106,9 @@ def sheet_pct_text(ratio) -> Column:
 
 
 def growth(new, old) -> Column:
-    """Difference of the two periods, a missing side counting as 0."""
-    return F.coalesce(_c(new), F.lit(0)) - F.coalesce(_c(old), F.lit(0))
+    """Difference of the two periods, each rounded to 2 places first (F22), a
+    missing side counting as 0."""
+    return F.bround(F.coalesce(_c(new), F.lit(0)), 2) - F.bround(F.coalesce(_c(old), F.lit(0)), 2)
 
 
 def growth_rate(new, old) -> Column:

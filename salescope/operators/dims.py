@@ -10,11 +10,11 @@ dimension's estimate is the product of its inputs).
 
 from __future__ import annotations
 
+from weakref import WeakKeyDictionary
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-
 # Dimensions up to this many rows and this estimated size are broadcast.
 DIM_BROADCAST_MAX_ROWS = 500_000
 DIM_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
@@ -41,17 +41,32 @@ def _row_bytes(dim: DataFrame) -> int:
     return width
 
 
+#: rows of the frames that were counted, as far as they were: (rows, whether that is all)
+_COUNTED: WeakKeyDictionary[DataFrame, tuple[int, bool]] = WeakKeyDictionary()
+
+
+def _at_most(dim: DataFrame, limit: int) -> bool:
+    """Whether ``dim`` has at most ``limit`` rows. A frame is counted once,
+    up to the bound: a plan that joins it twice asks once, and a dimension
+    that is read anew is a new frame and is counted anew."""
+    rows, whole = _COUNTED.get(dim, (-1, False))
+    if not whole and rows <= limit:
+        rows = dim.limit(limit + 1).count()
+        whole = rows <= limit
+        _COUNTED[dim] = (rows, whole)
+    return whole and rows <= limit
+
+
 def checked_broadcast(dim: DataFrame, max_rows: int | None = None,
-                      max_bytes: int = DIM_BROADCAST_MAX_BYTES) -> DataFrame:
+                      max_bytes: int = DIM_BROADCAST_MAX_BYTES, of: DataFrame | None = None) -> DataFrame:
     """``dim`` with a broadcast hint if it has at most ``max_rows`` rows and
     about ``max_bytes`` bytes, else unchanged (the planner then shuffles).
     The check is a bounded count (it stops reading after the bound), so it
-    stays cheap for a dimension of any size, and it is made each time: a
-    dimension that has grown since is not broadcast on an old count."""
+    stays cheap for a dimension of any size. ``of`` is the frame that ``dim``
+    was selected from, whose rows bound its own."""
     limit = DIM_BROADCAST_MAX_ROWS if max_rows is None else max_rows
     limit = max(0, min(limit, max_bytes // _row_bytes(dim)))
-    small = dim.limit(limit + 1).count() <= limit
-    return F.broadcast(dim) if small else dim
+    return F.broadcast(dim) if _at_most(dim if of is None else of, limit) else dim
 
 
 def _norm(c, case_insensitive: bool):
@@ -78,7 +93,7 @@ def attach_store_dim(fact: DataFrame, dim: DataFrame, *, case_insensitive: bool
     if lower_store:
         base = base.withColumn(store_col, F.lower(F.col(store_col)))
     d = checked_broadcast(clean_store_dim(dim).select(
-        _norm(F.col("store"), case_insensitive).alias("__dim_store"), *dim_cols))
+        _norm(F.col("store"), case_insensitive).alias("__dim_store"), *dim_cols), of=dim)
     joined = base.join(d, _norm(base[store_col], case_insensitive) == d["__dim_store"], "left")
     return joined.drop("__dim_store")
 
@@ -91,7 +106,7 @@ def attach_goods(fact: DataFrame, goods: DataFrame, key_col: str, prefix: str) -
         F.col("id").alias(f"{prefix}_id"),
         F.col("brand").alias(f"{prefix}_brand"),
         F.col("category").alias(f"{prefix}_category"),
-        F.col("manager").alias(f"{prefix}_manager")))
+        F.col("manager").alias(f"{prefix}_manager")), of=goods)
     joined = fact.join(g, fact[key_col] == g[f"__{prefix}_sku"], "left")
     return joined.drop(f"__{prefix}_sku")
 

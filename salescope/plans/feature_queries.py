@@ -5,17 +5,21 @@ ranks of all products. Each has its SQL beside it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.cleaning import row_uuid
+from ..operators.filters import quantity_filter
 from ..operators.ranking import distributed_competition_rank_desc, distributed_dense_rank_desc
 from ..schema import DEFAULT_SNAPSHOT, FILE_LABELS, ORDER_COLS, RAW_ORDER_COLS, TARGET_KINDS
 from ..session import scratch_path
+from ..sinks.files import write_clustered, write_csv, write_report, write_tables
 from ..sinks.versioned import VersionedTable, seed
 from ..sources import testbed as tb
+from ..sources.files import read_order_files, read_positional, read_table, read_target
 from ..sources.order_files import read_named_orders
-from . import attainment, oracle as o, states
-from .catalog import cleaned_by_store_and_product, cleaned_lines, collected, presentable, raw
+from . import attainment, compare, oracle as o, states
+from .catalog import cleaned_by_store, cleaned_by_store_and_product, cleaned_lines, collected, presentable, raw
 from .collect import collect_orders, seed_targets
 
 #: order files that are written: by the store's number
@@ -128,7 +132,98 @@ def q_product_ranks(spark, d):
     return presentable(distributed_competition_rank_desc(out, "profit", "competition_rank"))
 
 
+def q_positional_files(spark, d):
+    """Header-less files read by position; the header lines that
+    arrive as rows fall to the quantity filter."""
+    path = scratch_path(spark, "positional")
+    write_csv(collected(spark, d), path)
+    return quantity_filter(read_positional(spark, path))
+
+
+def q_target_files(spark, d):
+    """Targets of one snapshot from stored tables."""
+    out = None
+    for kind in TARGET_KINDS:
+        path = scratch_path(spark, f"targets-{kind}")
+        write_report(tb.targets(spark, d, kind), path)
+        t = read_target(spark, path, DEFAULT_SNAPSHOT).withColumn("kind", F.lit(kind))
+        out = t if out is None else out.unionByName(t)
+    return presentable(out)
+
+
+def q_export_tables(spark, d):
+    """The fact and three status sheets side by side,
+    each read back; the fact written in two appends."""
+    base = scratch_path(spark, "export")
+    fact = cleaned_by_store(spark, d)
+    write_tables({f"{k}_status": attainment.target_status(fact, tb.targets(spark, d, k), k) for k in TARGET_KINDS}, base)
+    early = F.col("order_date") < F.lit("1998-01-01").cast("date")
+    write_report(fact.where(early), f"{base}/orders")
+    write_report(fact.where(~early), f"{base}/orders", mode="append")
+    out = read_table(spark, f"{base}/orders").agg(
+        F.lit("orders").alias("name"), F.count(F.lit(1)).alias("rows"), F.sum("profit").cast("double").alias("profit"))
+    for k in TARGET_KINDS:
+        t = read_table(spark, f"{base}/{k}_status").where(~F.col("is_total"))
+        out = out.unionByName(t.agg(F.lit(f"{k}_status").alias("name"), F.count(F.lit(1)).alias("rows"),
+                                    F.sum(F.col("achieved").cast("decimal(28,2)")).cast("double").alias("profit")))
+    return out
+
+
+def q_unique_row_ids(spark, d):
+    """every row has an id of its own, the same each time it is read."""
+    path = scratch_path(spark, "row-ids")
+    row_uuid(collected(spark, d)).select("order_no", "uuid").write.parquet(path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("uuid").alias("ids"))
+
+
+def q_ordered_csv(spark, d):
+    """O3: the collected fact as CSV in order of date; per file the rows, the
+    steps back inside it, and whether it begins before the last one ends."""
+    path = scratch_path(spark, "ordered-csv")
+    write_csv(collected(spark, d), path, order_by=["order_date", "order_no"])
+    rows = read_order_files(spark, path, columns=ORDER_COLS, with_source=True).withColumn("at", F.monotonically_increasing_id())
+    in_file = Window.partitionBy("source_file").orderBy("at")
+    steps = rows.select("source_file", "order_date", F.lag("order_date").over(in_file).alias("before"))
+    files = steps.groupBy("source_file").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("before") > F.col("order_date")).cast("long")).alias("back"),
+                                             F.min("order_date").alias("low"), F.max("order_date").alias("high"))
+    # one row a file
+    follow = files.select("*", F.lag("high").over(Window.orderBy("source_file")).alias("last"))
+    return follow.agg(F.sum("n").alias("rows"), F.sum("back").alias("steps_back"), F.sum((F.col("last") > F.col("low")).cast("long")).alias("overlaps"))
+
+
+def q_clustered_store_week_compare(spark, d):
+    """R10 on the fact landed in z-order over date and store."""
+    path = scratch_path(spark, "clustered-fact")
+    write_clustered(cleaned_lines(spark, d), path, ["order_date", "store"])
+    return presentable(compare.store_week_compare(read_table(spark, path), tb.AS_OF))
+
+
+def q_report_order(spark, d):
+    """The place of each row in the reports' own order."""
+    reports = {
+        "platform_attainment": (attainment.platform_attainment(collected(spark, d), tb.targets(spark, d, "platform")), "platform"),
+        "department_attainment": (attainment.department_attainment(collected(spark, d), tb.targets(spark, d, "department")), "department"),
+        "target_status": (attainment.target_status(cleaned_by_store(spark, d), tb.targets(spark, d, "operator"), "operator"), "operator"),
+        "store_week_compare": (compare.store_week_compare(cleaned_lines(spark, d), tb.AS_OF), "store"),
+    }
+    out = None
+    for name, (report, key) in reports.items():
+        # one file, in the report's order: at most a row per key of a dimension
+        path = scratch_path(spark, f"order-{name}")
+        report.select(F.col(key).alias("key")).coalesce(1).write.parquet(path)
+        placed = spark.read.parquet(path).select(F.lit(name).alias("report"), "key", (F.col("_metadata.row_index") + 1).cast("long").alias("place"))
+        out = placed if out is None else out.unionByName(placed)
+    return out
+
+
 FEATURES = {
+    "positional_files": q_positional_files,
+    "target_files": q_target_files,
+    "export_tables": q_export_tables,
+    "unique_row_ids": q_unique_row_ids,
+    "ordered_csv": q_ordered_csv,
+    "clustered_store_week_compare": q_clustered_store_week_compare,
+    "report_order": q_report_order,
     "collect_named_files": q_collect_named_files,
     "order_file_status": q_order_file_status,
     "text_amount_attainment": q_text_amount_attainment,
@@ -148,7 +243,20 @@ def feature_sql() -> dict[str, str]:
                f"CASE WHEN {n} % 70 = 0 THEN 0 ELSE revenue END AS revenue) FROM collected")
     attained = o.attainment_sql("platform").replace("FROM collected WHERE", f"FROM ({amounts}) WHERE")
     kinds = " UNION ALL ".join(f"SELECT snapshot, '{k}:' || key AS key, target FROM tgt_all_{k}" for k in TARGET_KINDS)
+    exported = ["SELECT 'orders' AS name, count(*) AS rows, CAST(sum(profit) AS DOUBLE) AS profit FROM clean"] + [
+        f"SELECT '{k}_status', count(*), CAST(sum(COALESCE(p, 0)) AS DOUBLE) FROM tgt_{k} t LEFT JOIN "
+        f"(SELECT {k} AS k, sum(profit) AS p FROM clean WHERE {k} IS NOT NULL GROUP BY {k}) a ON lower(t.key) = lower(a.k)" for k in TARGET_KINDS]
+    order = {"platform_attainment": (o.attainment_sql("platform"), "platform", "rank, platform"), "department_attainment": (o.attainment_sql("department"), "department", "rank, department"),
+             "target_status": (o.target_status_sql("operator"), "operator", "rank, operator"), "store_week_compare": (o.week_compare_sql("store"), "store", "growth DESC, store")}
+    placed = " UNION ALL ".join(f"SELECT '{n}' AS report, {k} AS key, row_number() OVER (ORDER BY is_total, {by}) AS place FROM ({q}) q_{n}" for n, (q, k, by) in order.items())
     return {
+        "positional_files": o.with_ctes(*o.base_ctes(collected=True), body=f"SELECT {text} FROM collected WHERE quantity >= 1"),
+        "target_files": " UNION ALL ".join(f"SELECT * FROM ({o.with_ctes(o.tgt_cte(k), body=f"SELECT key, CAST(target AS DOUBLE) AS target, '{k}' AS kind FROM tgt")}) t_{k}" for k in TARGET_KINDS),
+        "export_tables": o.with_ctes(*o.base_ctes(clean=True), *[o.tgt_cte(k, suffix=f"_{k}") for k in TARGET_KINDS], body=" UNION ALL ".join(exported)),
+        "unique_row_ids": o.with_ctes(*o.base_ctes(), body="SELECT count(*) AS rows, count(*) AS ids FROM raw"),
+        "ordered_csv": o.with_ctes(*o.base_ctes(), body="SELECT count(*) AS rows, CAST(0 AS BIGINT) AS steps_back, CAST(0 AS BIGINT) AS overlaps FROM raw"),
+        "clustered_store_week_compare": o.week_compare_sql("store"),
+        "report_order": placed,
         "collect_named_files": o.with_ctes(*o.base_ctes(collected=True), body=f"SELECT {text} FROM collected WHERE {number} NOT IN ({SHORT}, {NO_PROFIT})"),
         "order_file_status": o.with_ctes(*o.base_ctes(), body=(
             f"SELECT {number} AS file_no, CASE WHEN {number} IN ({SHORT}, {NO_PROFIT}) THEN 0 ELSE count(*) END AS rows, "
