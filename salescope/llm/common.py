@@ -41,14 +41,34 @@ def text_column(df: DataFrame, name: str = "text") -> F.Column:
     return F.coalesce(df[name].cast("string"), F.lit(""))
 
 
-#: most rows of a table that is broadcast
+#: most rows and bytes of a table that is broadcast
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
+
+
+def _bytes(rows: DataFrame) -> F.Column:
+    """About how many bytes a row takes; what an array holds counts by its length."""
+    total = F.lit(16)
+    for f in rows.schema.fields:
+        kind = f.dataType.typeName()
+        size = F.octet_length(f.name) if kind in ("string", "binary") else F.size(f.name) * 24 if kind in ("array", "map") else F.lit(8)
+        total = total + 8 + F.greatest(F.coalesce(size, F.lit(0)), F.lit(0))
+    return total.cast("long")
 
 
 def few(rows: DataFrame) -> DataFrame:
-    """``rows`` marked for broadcast if a count shows that they are few; beyond
-    that the join shuffles. Meant for staged tables with narrow rows."""
-    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+    """``rows`` marked for broadcast if a look at them shows that they are few
+    and small; beyond that the join shuffles. Meant for staged tables."""
+    n, size = rows.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(_bytes(rows)), F.lit(0))).first()
+    return F.broadcast(rows) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else rows
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it one that ``df`` has no column of."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def once(df: DataFrame, name: str, value: F.Column) -> DataFrame:

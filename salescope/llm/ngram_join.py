@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, few, mix, signed, slices, staged, text_column
+from .common import Words, few, free_name, mix, signed, slices, staged, text_column
 from .components import components
 
 #: words of a shingle, and the threshold in hundredths
@@ -356,5 +356,6 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     rows = docs.join(few(gone), docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (hashed == gone["_hash"]), "left_anti")
     again = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows")).filter("rows > 1")
     if not again.isEmpty():                     # rows that repeat id and text
-        rows = rows.withColumn("_hash", hashed).dropDuplicates(["doc_id", "_hash"])
+        name = free_name(docs, "_hash")
+        rows = rows.withColumn(name, hashed).dropDuplicates(["doc_id", name])
     return rows.select(*docs.columns)

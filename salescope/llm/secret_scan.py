@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged, text_column
+from .common import free_name, staged, text_column
 
 
 @dataclass(frozen=True)
@@ -125,8 +125,10 @@ def matches(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
         return F.when(F.array_contains("versions", F.lit(r.version)) & F.col("text").rlike(r.pattern), rows)
 
     # one pass over the texts: a null array explodes to nothing
-    hits = texts.select("blob", F.explode(F.flatten(F.array_compact(F.array(*[found(r) for r in rules])))).alias("x")).select("blob", "x.*")
-    along = Window.partitionBy("blob", "version").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # rows that repeat id and text are counted along each on their own, and give the same matches
+    hits = texts.withColumn("row", F.monotonically_increasing_id()).select(
+        "blob", "row", F.explode(F.flatten(F.array_compact(F.array(*[found(r) for r in rules])))).alias("x")).select("blob", "row", "x.*")
+    along = Window.partitionBy("blob", "row", "version").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     end = F.sum(F.col("gap").cast("long") + F.col("size")).over(along)
     return hits.withColumn("end", end).filter("value_size >= least").select(
         "blob", "version", (F.col("end") - F.col("size")).alias("start"), F.lit(0).alias("ord"), "end", "kind")
@@ -141,18 +143,38 @@ def secret_spans(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULE
     return keys.join(spans, "blob", "left").select("doc_id", "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
 
+def merged_spans(ledger: Ledger, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(blob, parts): the stretches that spans cover, overlapping spans as one,
+    in order; one row per blob that has any."""
+    found = ledger.findings().filter(F.col("version").isin([r.version for r in rules])).select("blob", "start", "end").distinct()
+    along = Window.partitionBy("blob").orderBy("start", "end")
+    reached = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = found.withColumn("fresh", (reached.isNull() | (F.col("start") >= reached)).cast("int"))
+    parts = fresh.withColumn("part", F.sum("fresh").over(along)).groupBy("blob", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return parts.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("parts"))
+
+
 def redact_secrets(docs: DataFrame, ledger: Ledger, rules: tuple[Rule, ...] = RULES, mark: str = "[secret]") -> DataFrame:
     """``docs`` with each found span (overlapping ones as one) replaced by
-    ``mark``; all rows and columns stay, a null text stays null."""
+    ``mark``; all rows and columns stay, whatever their names, and repeated
+    rows all the same; a null text stays null, an empty one empty; no rows
+    give no rows. A text with many spans is cut once: in UTF-32 a character
+    has four bytes, so each part between two spans is found at once, in time
+    that grows with the text and its spans."""
     ledger.scan(docs, rules)
-    spans = staged(ledger.spans(rules), "secret-spans").select(F.col("blob").alias("_blob"), F.col("spans").alias("_spans"))
-    step = F.aggregate(
-        "_spans", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.struct(
-            F.greatest(a["at"], s["end"]).alias("at"),
-            F.when(s["start"] < a["at"], a["out"]).otherwise(
-                F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mark))).alias("out")),
-        lambda a: F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), F.length("text"))))
-    joined = docs.withColumn("_blob", F.sha2(text_column(docs), 256)).join(spans, "_blob", "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(step)
-    return joined.withColumn("text", text).select(*docs.columns)
+    blob, parts = free_name(docs, "_blob"), free_name(docs, "_parts")
+    spans = staged(merged_spans(ledger, rules), "secret-parts").select(F.col("blob").alias(blob), F.col("parts").alias(parts))
+    mark_of_order = F.lit(b"\x00\x00\xfe\xff")                     # decoding eats one, and so not the text's own
+
+    def between(i: F.Column, wide: F.Column) -> F.Column:
+        """The text from the end of span i to the begin of the next one."""
+        lo = F.when(i == 0, F.lit(0)).otherwise(F.element_at(F.col(parts), F.greatest(i, F.lit(1)))["end"])
+        hi = F.when(i < F.size(parts), F.element_at(F.col(parts), F.least(i + 1, F.size(parts)))["start"]).otherwise(F.length(wide) / 4)
+        part = F.substring(wide, (4 * lo + 1).cast("int"), (4 * (hi - lo)).cast("int"))
+        return F.decode(F.concat(mark_of_order, part), "UTF-32")
+
+    joined = docs.withColumn(blob, F.sha2(text_column(docs), 256)).join(spans, blob, "left")
+    # an array of one: the wide text is made once a row
+    cut = F.transform(F.array(F.encode(F.col("text"), "UTF-32")), lambda w: F.array_join(
+        F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: between(i, w)), mark))[0]
+    return joined.withColumn("text", F.when(F.col(parts).isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)
