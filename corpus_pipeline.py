@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from salescope.llm import decontaminate, ngram_join, packing, quality_rules, secret_scan
 from salescope.llm.common import staged, table
 from salescope.llm.tokens import tokenizer_path
-from salescope.session import scratch_path
+from salescope.session import remove_scratch, scratch_path, scratch_paths
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,7 +57,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``. A stage's own tables, and the one that it
+    read, go when its rows are written."""
     docs = table(spark, sf_dir, "documents")
+    before = scratch_paths(spark)
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        made = [p for p in scratch_paths(spark) if p not in before]
+        remove_scratch(spark, made[:-1])            # the last one is the stage's rows
     return STAGES[-1][1](spark, docs, sf_dir)

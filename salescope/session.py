@@ -84,10 +84,32 @@ def shared_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+_SCRATCH: dict[tuple, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared folder for written intermediate tables."""
-    base = shared_dir(spark)
-    return f"{base}/salescope/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/salescope/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(session_key(spark), []).append(path)
+    return path
+
+
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """The scratch paths that this session has made and not removed, in order."""
+    return list(_SCRATCH.get(session_key(spark), ()))
+
+
+def remove_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Removes scratch tables, all of the session's if none are named. Frames
+    that still read them cannot be run again, so this is for a caller that has
+    written its results."""
+    made = _SCRATCH.get(session_key(spark), [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in list(made) if paths is None else paths:
+        if path in made:
+            at = hadoop.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            made.remove(path)
 
 
 _SHIPPED: set[tuple] = set()
@@ -118,7 +140,3 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(path, os.path.join(name, os.path.relpath(path, root)))
     spark.sparkContext.addPyFile(made)                                   # served by the driver
     _SHIPPED.add(key)
-
-
-def local_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
