@@ -259,17 +259,73 @@ def test_decontamination(spark, odd, none, docs):
     assert decontaminate.contaminated(odd, spark.createDataFrame([], "item_id long, text string")).count() == 0
 
 
+def licenses(rows):
+    """Brute force: Dice of every unit, and of every window where a word pair is aligned, with every template."""
+    def dice(x, y):
+        return len(x & y), 2 * len(x & y) / (len(x) + len(y))
+    known = [(name, set(license_scan.template_bigrams(t)), license_scan.template_words(t)) for name, t in license_scan.TEMPLATES]
+    grams = lambda w: set(map(" ".join, zip(w, w[1:]))) or set(w)
+    found = collections.defaultdict(lambda: [set(), 0.0, 0])
+    for k, text in rows:
+        text = text or ""
+        for unit in {text, *text.split("\n"), *re.split(r"\n[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*\n", text)}:
+            near = [(dice(g, own)[1], name) for name, own, _ in known if (g := grams(license_scan.template_words(unit)))]
+            for d, name in near:
+                if d == max(near)[0] and d >= 0.8 - 1e-12:
+                    hit = found[k, name]
+                    hit[0].add(unit)
+                    hit[1] = max(hit[1], d)
+        words, windows = license_scan.template_words(text), set()
+        pairs = list(zip(words, words[1:]))
+        for t, (_, _, own) in enumerate(known):
+            for at, pair in enumerate(zip(own, own[1:])):
+                windows |= {(max(p - at, 0), min(p - at + len(own), len(words)), t) for p, q in enumerate(pairs) if q == pair}
+        scored = sorted((a, b, *dice(grams(words[a:b]), known[t][1]), known[t][0]) for a, b, t in windows)
+        parts = []
+        for a, b, shared, d, name in scored:
+            if d >= 0.8 - 1e-12:
+                if not parts or parts[-1][0] <= a:
+                    parts.append([b, []])
+                parts[-1] = [max(b, parts[-1][0]), [*parts[-1][1], ((shared, d), name)]]
+        for _, hits in parts:
+            for name in {name for s, name in hits if s == max(hits)[0]}:
+                found[k, name][1] = max(found[k, name][1], max(hits)[0][1])
+                found[k, name][2] += 1
+    return collections.Counter((k, name, len(u), round(d, 6), p) for (k, name), (u, d, p) in found.items())
+
+
 def test_license_scan(spark, odd, none, docs):
-    got = {(r["doc_id"], r["license"]) for r in queries.op2_license_scan(spark, SF).collect()}
-    want = set()
-    for k, t in docs:
-        for line in (t or "").split("\n"):
-            for name, notice in license_scan.TEMPLATES:
-                if license_scan.template_bigrams(line) == license_scan.template_bigrams(notice):
-                    want.add((k, name))
-    assert got == want and want
-    assert rows_of(license_scan.scan_licenses(odd)) == collections.Counter([(12, "MIT", 1, 1.0)])
+    got = rows_of(queries.op2_license_scan(spark, SF))
+    assert got == licenses(docs) and got
+    assert rows_of(license_scan.scan_licenses(odd)) == collections.Counter([(12, "MIT", 1, 1.0, 1)])
     assert license_scan.scan_licenses(none).count() == 0
+    assert license_scan.scan_licenses(odd, templates=()).count() == 0
+
+
+def test_license_inside_longer_texts(spark):
+    bodies = {name: text for name, text in license_scan.TEMPLATES}                    # the last, longest one of a licence
+    wrap = lambda text, lead, n: "\n".join(lead + " ".join(w) for i in range(0, len(text.split()), n) if (w := text.split()[i:i + n]))
+    less = bodies["ISC"].split()
+    rows = [
+        (1, "Copyright 2020 Foo Inc. All rights reserved. Released under the MIT License."),
+        (2, "/*\n * Copyright someone\n *\n" + wrap(bodies["BSD-2-Clause"], " * ", 9) + "\n *\n */\nint main(void) { return 0; }\n" + LONG),
+        (3, LONG + "\n" + wrap(bodies["BSD-3-Clause"], "# ", 11) + "\n#\n# end " + LONG),
+        (4, wrap(bodies["MIT"], "// ", 8)), (5, LONG + " " + bodies["Apache-2.0"]),
+        (6, LONG + " " + " ".join(w for i, w in enumerate(less) if i % 13 != 12) + " " + LONG),                 # between 0.8 and 1
+        (7, LONG + " " + " ".join(w for i, w in enumerate(less) if i % 4 != 3) + " " + LONG),                   # below it
+        (8, f"{LONG} licensed under the MIT License, {LONG} and licensed under CC BY 4.0 too; licensed under CC BY 4.0."),
+        (9, "the rights to use, to copy and to sell are in no event granted, with or without fee, under the law"),
+        (9, "Released under the MIT License."), (9, "Released under the MIT License."), (None, "x Licensed under the MIT License. y"),
+        (10, "under the mit license"), (11, (LONG + " released under the MIT license. ") * 40),
+    ]
+    got = rows_of(license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")))
+    want = licenses([r for r in rows if r[0] != 9])
+    assert collections.Counter({r: n for r, n in got.items() if r[0] != 9}) == want
+    of = {(r[0], r[1]): r for r in got}
+    assert of[1, "MIT"][2:] == (0, 1.0, 1) and of[9, "MIT"][2:] == (1, 1.0, 2) and of[11, "MIT"][4] == 40
+    assert {k: {n for i, n in of if i == k} for k in (2, 3, 4, 5, 6, 7, 8)} == {
+        2: {"BSD-2-Clause"}, 3: {"BSD-3-Clause"}, 4: {"MIT"}, 5: {"Apache-2.0"}, 6: {"ISC"}, 7: set(), 8: {"MIT", "CC-BY-4.0"}}
+    assert 0.8 < of[6, "ISC"][3] < 1 and of[8, "CC-BY-4.0"][4] == 2
 
 
 def test_lm_score(spark, odd, none, docs):
