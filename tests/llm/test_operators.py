@@ -347,10 +347,12 @@ def test_lm_score(spark, odd, none, docs):
 
 def test_lm_gradient_lowers_loss_and_state_is_carried():
     rng = np.random.default_rng(0)
-    ids = np.tile(np.array([3, 4, 5, 6, 7, 2]), 4000)
-    prior = np.log(np.full(lm_score.CLASSES + 1, 1 / (lm_score.CLASSES + 1))).astype(np.float32)
-    classes = np.arange(lm_score.INPUTS + lm_score.CLASSES + 1) % (lm_score.CLASSES + 1)
-    trainer = lm_score.Trainer(lm_score.Network(prior), classes, 2)
+    # words of one class, which only the softmax within it tells apart, of another class, and of a band
+    ids = np.tile(np.array([3, 4, 5, lm_score.WIDTH + 6, lm_score.INPUTS + 1, 2]), 4000)
+    prior = np.log(np.full(lm_score.KINDS, 1 / lm_score.KINDS)).astype(np.float32)
+    share = np.full((lm_score.CLASSES, lm_score.WIDTH), -np.log(lm_score.WIDTH), np.float32)
+    classes = np.concatenate([np.arange(lm_score.INPUTS) // lm_score.WIDTH, np.arange(lm_score.CLASSES, lm_score.KINDS)])
+    trainer = lm_score.Trainer(lm_score.Network(prior, share), classes, 2)
     docs = [ids[:60], ids[:6], rng.permutation(ids[:60])]
     before = lm_score.document_logs(trainer.net, classes, docs, 2)
     for _ in range(20):
@@ -360,9 +362,31 @@ def test_lm_gradient_lowers_loss_and_state_is_carried():
     net, h, last, total = trainer.net, np.zeros((1, lm_score.UNITS), np.float32), 2, 0.0
     for w in docs[2]:
         h, _, _ = net.step(net.inputs[[last]] + net.bias, h)
-        total += float(net.class_logs(h, classes[[w]])[0]) / math.log(10)
+        soft = lambda z: z - np.log(np.exp(z).sum())
+        total += soft((h @ net.out + net.out_bias)[0].astype(float))[classes[w]] / math.log(10)
+        if w < lm_score.INPUTS:
+            k, at = divmod(int(w), lm_score.WIDTH)
+            total += soft((h @ net.word[k] + net.word_bias[k])[0].astype(float))[at] / math.log(10)
         last = w
     assert after[2] == pytest.approx(total, rel=1e-5)
+    # three words of one class: counts alone would leave a third of the probability to each
+    h = np.zeros((1, lm_score.UNITS), np.float32)
+    for last in (2, 3):
+        h, _, _ = net.step(net.inputs[[last]] + net.bias, h)
+    z = (h @ net.word[0] + net.word_bias[0])[0]
+    assert np.argmax(z) == 4 and np.exp(z[4]) / np.exp(z).sum() > 0.8
+
+
+def test_lm_gradient_by_differences():
+    """The gradient that the second softmax sends back equals the loss's slope."""
+    rng = np.random.default_rng(3)
+    z, place, weight = rng.normal(size=(5, lm_score.WIDTH)), rng.integers(0, lm_score.WIDTH, 5), np.array([0.2, 0.0, 0.3, 0.4, 0.1])
+    loss = lambda z: -(weight * lm_score._picked_logs(z.copy(), place)).sum()
+    got = lm_score._errors(z.copy(), place, weight)
+    for i, j in [(0, int(place[0])), (1, 5), (2, 7), (4, int(place[4]))]:
+        d = np.zeros_like(z)
+        d[i, j] = 1e-5
+        assert got[i, j] == pytest.approx((loss(z + d) - loss(z - d)) / 2e-5, abs=1e-7)
 
 
 def test_bitmaps_are_a_lower_bound():
