@@ -1,16 +1,18 @@
 """Benchmark decontamination by SimHash windows and exact verification.
 
 Texts and items are words, lower-cased, and their sets are five-word shingles
-weighted by how often they occur; fewer than five words are one shingle. A
-document's windows have the size of a benchmark item and stand where a shared
-shingle aligns the two, starts the window or ends it: any other window can be
-moved to such a place without losing shared weight. Each window gets
-a 64-bit SimHash. Six blocks of its bits index it: fingerprints within 17 bits
-of each other agree in one block up to two bits, so looking up all values
-within two bits of an item's block finds every one of them. What lies within
-the radius is verified by the exact weighted similarity. DataFrame functions
-only; the benchmark's tables are broadcast behind a count and joined by a
-shuffle beyond it.
+weighted by how often they occur; fewer than five words are one shingle. An
+item that a document holds at the threshold has at least that share of its
+shingles somewhere in the document, so only such pairs of document and item go
+on. A document's windows for an item have the item's size and stand where a
+shared shingle aligns the two, starts the window or ends it: any other window
+can be moved to such a place without losing shared weight. Each window gets
+a 64-bit SimHash. Six blocks of its bits index it under its item: fingerprints
+within 23 bits of each other agree in one block up to three bits, so looking up
+all values within three bits of the item's block finds every one of them. What
+lies within the radius is verified by the exact weighted similarity. DataFrame
+functions only; the benchmark's tables are broadcast behind a look at their
+rows and bytes and joined by a shuffle beyond it.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ from .common import WORD, few, once, staged, text_column
 
 #: words of a shingle, and the similarity of a hit in hundredths
 SHINGLE, THRESHOLD = 5, 80
-#: largest Hamming distance looked up
-RADIUS = 17
+#: largest Hamming distance looked up: at the threshold itself 10 bits differ on average, 3 is the deviation
+RADIUS = 23
 #: (first bit, bits) of the blocks; RADIUS // len(BLOCKS) bits may differ in one
 BLOCKS = ((0, 11), (11, 11), (22, 11), (33, 11), (44, 10), (54, 10))
 
@@ -59,8 +61,10 @@ def _words(text: F.Column) -> F.Column:
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, text_hash, start, n_words, shared, total) of every
-    window of ``docs`` (doc_id, text) at or over the threshold with an item of
-    ``benchmark`` (item_id, text); ``start`` counts words.
+    window of ``docs`` (doc_id, text) that an item of ``benchmark`` (item_id,
+    text) places and that is at or over the threshold with it; ``start`` counts
+    words. A very long text is one row throughout: its windows are cut from it
+    in the task that holds it.
 
     Null and empty texts and items match nothing; a null id is carried as
     null; fewer than five words match only the same whole sequence as one
@@ -71,25 +75,35 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = once(once(texts, "words", _words(F.col("text"))), "item", shingles("words")).filter(F.size("item") > 0)
     items = staged(items.select("item_id", F.size("words").alias("n_words"), "item", simhash("item").alias("item_hash"))
                    .withColumn("item_row", F.monotonically_increasing_id()), "leak-items")
-    anchors = items.select(F.posexplode("item").alias("at", "shingle"), "n_words").distinct()
+    # the item's shingles are n_words - 4, or one
+    anchors = items.select("item_row", F.size("item").alias("size"), F.posexplode("item").alias("at", "shingle"))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_column(docs).alias("text")).withColumn("text_hash", F.xxhash64("text"))
     read = once(once(rows, "words", _words(F.col("text"))), "sh", shingles("words"))
-    aligned = read.select("doc_id", "text_hash", F.size("sh").alias("n"), F.posexplode("sh").alias("pos", "shingle")).join(few(staged(anchors, "leak-anchors")), "shingle")
+    met = read.select("doc_id", "text_hash", F.size("sh").alias("n"), F.posexplode("sh").alias("pos", "shingle"))
+    aligned = staged(met.join(few(staged(anchors, "leak-anchors")), "shingle").drop("shingle"), "leak-aligned")
+    pair = ["doc_id", "text_hash", "item_row"]
+    held = aligned.select(*pair, "size", "at").distinct().groupBy(*pair, "size").count().filter(f"100 * count >= {THRESHOLD} * size") \
+        .select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), F.col("item_row").alias("at_item"))
+    near = aligned.join(few(staged(held, "leak-held")), F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash"))
+                        & (F.col("item_row") == F.col("at_item")), "left_semi")
     # the window's shingles [start, stop), cut to the document: aligned, from the shared shingle on, or up to it
-    size = F.greatest(F.col("n_words") - (SHINGLE - 1), F.lit(1))
-    start = F.col("first")
-    starts = F.array_distinct(F.array(F.col("pos") - F.col("at"), F.col("pos"), F.col("pos") - size + 1))
-    windows = staged(aligned.select("doc_id", "text_hash", "n", "n_words", F.explode(starts).alias("first")).select(
-        "doc_id", "text_hash", F.greatest(start, F.lit(0)).alias("start"), F.least(start + size, F.col("n")).alias("stop")).distinct(), "leak-windows")
-    at = windows.select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), "start", "stop").groupBy("at_id", "at_hash").agg(
-        F.collect_list(F.struct("start", "stop")).alias("windows"))
+    starts = F.array_distinct(F.array(F.col("pos") - F.col("at"), F.col("pos"), F.col("pos") - F.col("size") + 1))
+    windows = near.select(*pair, "n", "size", F.explode(starts).alias("first")).select(
+        *pair, "size", F.greatest("first", F.lit(0)).alias("start"), F.least(F.col("first") + F.col("size"), F.col("n")).alias("stop")).distinct()
+    windows = staged(windows.filter(f"100 * (stop - start) >= {THRESHOLD} * size").drop("size"), "leak-windows")
+    places = windows.select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), "start", "stop").distinct()
+    at = places.groupBy("at_id", "at_hash").agg(F.collect_list(F.struct("start", "stop")).alias("windows"))
     again = rows.join(few(staged(at, "leak-texts")), F.col("doc_id").eqNullSafe(F.col("at_id")) & (F.col("text_hash") == F.col("at_hash")))
     cut = once(once(again, "words", _words(F.col("text"))), "sh", shingles("words")) \
         .select("doc_id", "text_hash", F.size("words").alias("n_words"), "sh", "windows").dropDuplicates(["doc_id", "text_hash"]) \
         .select("doc_id", "text_hash", "n_words", "sh", F.explode("windows").alias("w")) \
-        .select("doc_id", "text_hash", "w.start", F.least(F.col("w.stop") - F.col("w.start") + (SHINGLE - 1), F.col("n_words")).alias("n_words"),
+        .select(F.col("doc_id").alias("at_id"), F.col("text_hash").alias("at_hash"), F.col("w.start").alias("at_start"), F.col("w.stop").alias("at_stop"),
+                F.least(F.col("w.stop") - F.col("w.start") + (SHINGLE - 1), F.col("n_words")).alias("n_words"),
                 F.slice("sh", F.col("w.start") + 1, F.col("w.stop") - F.col("w.start")).alias("window"))
     seen = staged(cut.withColumn("hash", simhash("window")).withColumn("row", F.monotonically_increasing_id()), "leak-hashes")
+    asked = windows.join(seen.select("at_id", "at_hash", "at_start", "at_stop", "row", "hash"), F.col("doc_id").eqNullSafe(F.col("at_id"))
+                         & (F.col("text_hash") == F.col("at_hash")) & (F.col("start") == F.col("at_start")) & (F.col("stop") == F.col("at_stop"))) \
+        .select("row", "hash", "item_row")
 
     def index(hash_: str, near: bool) -> F.Column:
         """(block, value) rows; with ``near`` all values that a block may differ to."""
@@ -100,13 +114,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             found.append(F.expr(f"transform(array({values}), x -> named_struct('block', {k}, 'value', {block_value(hash_, first, bits)} ^ x))"))
         return F.explode(F.concat(*found))
 
-    near = items.select("item_row", "item_hash", index("item_hash", True).alias("i")).select("item_row", "item_hash", "i.*")
-    found = seen.select("row", "hash", index("hash", False).alias("i")).select("row", "hash", "i.*").join(few(staged(near, "leak-index")), ["block", "value"]) \
+    table = items.select("item_row", "item_hash", index("item_hash", True).alias("i")).select("item_row", "item_hash", "i.*")
+    found = asked.select("row", "hash", "item_row", index("hash", False).alias("i")).select("row", "hash", "item_row", "i.*") \
+        .join(few(staged(table, "leak-index")), ["item_row", "block", "value"]) \
         .filter(F.bit_count(F.col("hash").bitwiseXOR(F.col("item_hash"))) <= RADIUS).select("row", "item_row").distinct()
     shared = shared_weight("window", "item")
     checked = once(found.join(seen, "row").join(few(items.select("item_row", "item_id", "item")), "item_row"), "shared", shared) \
         .withColumn("total", F.size("window") + F.size("item") - F.col("shared"))
-    return checked.filter(f"100 * shared >= {THRESHOLD} * total").select("doc_id", "item_id", "text_hash", "start", "n_words", "shared", "total")
+    return checked.filter(f"100 * shared >= {THRESHOLD} * total").select(
+        F.col("at_id").alias("doc_id"), "item_id", F.col("at_hash").alias("text_hash"), F.col("at_start").alias("start"), "n_words", "shared", "total")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -117,7 +133,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` without a window that leaks, all columns as they are."""
+    """The rows of ``docs`` without a window that leaks, all columns as they
+    are. Rows that repeat id and text stay or go together; null and empty
+    texts stay, as do all rows where either table is empty."""
     leaks = staged(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "leak-rows")
     key = docs["doc_id"].cast("long").eqNullSafe(leaks["_id"]) & (F.xxhash64(text_column(docs)) == leaks["_hash"])
     return docs.join(few(leaks), key, "left_anti")
