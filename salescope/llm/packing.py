@@ -25,13 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import few, staged
 from .token_output import encode_documents, id_type, vocabulary_size
 
 #: tokens of a sequence
 WINDOW = 4096
 #: id appended to each document
 END_ID = 2
+#: tasks whose whole windows are summed together; one row a run is summed at last
+PARTS_RUN = 1024
 
 
 def best_filling(counts: dict[int, int], capacity: int) -> tuple[dict[int, int], int]:
@@ -130,13 +132,24 @@ class Plan:
         return out
 
 
+def _wholes_before(groups: DataFrame) -> DataFrame:
+    """(part, wholes_before): the whole windows of the tasks before each one.
+    Sums run inside runs of PARTS_RUN tasks, and then over the runs' totals."""
+    parts = groups.groupBy("part").agg(F.sum("wholes").alias("wholes")).withColumn("run", F.floor(F.col("part") / PARTS_RUN))
+    runs = parts.groupBy("run").agg(F.sum("wholes").alias("of_run"))
+    runs = runs.select("run", (F.sum("of_run").over(Window.orderBy("run")) - F.col("of_run")).alias("runs_before"))
+    inside = F.sum("wholes").over(Window.partitionBy("run").orderBy("part")) - F.col("wholes")
+    return parts.withColumn("inside", inside).join(runs, "run").select("part", (F.col("runs_before") + F.col("inside")).cast("long").alias("wholes_before"))
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset.
 
     Every row of ``docs`` (doc_id, text) is packed, rows with the same id each
     on their own; a null text is empty, and an empty one is the end id alone;
-    a null id stays null; other columns are ignored; no rows give no pieces.
+    a null id stays null; other columns are ignored; a very long text is many
+    whole windows of its own; no rows give no pieces.
     """
     kind = id_type(vocabulary_size(tokenizer))
     width = int(kind[-1])
@@ -161,9 +174,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id
     counts = {r["rest"]: r["n"] for r in groups.filter("rest > 0").groupBy("rest").agg(F.sum("n").alias("n")).collect()}
     plan = Plan(counts, window)
     before = F.sum("n").over(Window.partitionBy("rest").orderBy("part")) - F.col("n")
-    ranks = groups.select("part", "rest", before.alias("ranks_before"), "wholes").groupBy("part").agg(
-        F.map_from_entries(F.collect_list(F.struct("rest", "ranks_before"))).alias("ranks_before"), F.sum("wholes").alias("wholes"))
-    starts = ranks.select("part", "ranks_before", (F.sum("wholes").over(Window.orderBy("part")) - F.col("wholes")).alias("wholes_before"))
+    # at most a window's length of entries a task
+    maps = groups.select("part", "rest", before.alias("ranks_before")).groupBy("part").agg(
+        F.map_from_entries(F.collect_list(F.struct("rest", "ranks_before"))).alias("ranks_before"))
+    starts = few(staged(_wholes_before(groups).join(maps, "part"), "pack-starts"))
     total = groups.agg(F.coalesce(F.sum("wholes"), F.lit(0))).first()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

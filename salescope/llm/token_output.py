@@ -121,8 +121,10 @@ def write_token_ids(docs: DataFrame, tokenizer: str, path: str) -> None:
     ``path``/blocks and the ranks to ``path``/ranks.
 
     A null text is an empty text: its document is the end id alone. Null
-    document ids come first; rows that share an id are all kept, ordered by
-    their ids' bytes; other columns are ignored; no rows make no blocks.
+    document ids come first; rows that share an id are all kept, ordered by a
+    hash of their ids and dealt over as many tasks as they need, copies too;
+    other columns are ignored; a very long text is one document of a block of
+    its own size; no rows make no blocks.
     """
     spark = docs.sparkSession
     vocabulary = vocabulary_size(tokenizer)
@@ -163,7 +165,10 @@ def write_token_ids(docs: DataFrame, tokenizer: str, path: str) -> None:
 
     names = ["part", "block", "tokens_before", "n_tokens", "doc_ids", "sizes", "control", "data"]
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    encoded.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "ids").mapInArrow(
+    # rows alike in id and hash are cut by their place in the staged table, the same in each attempt
+    ranged = encoded.withColumn("hash", F.xxhash64("ids")).withColumn("place", F.monotonically_increasing_id()) \
+        .repartitionByRange(parts, "doc_id", "hash", "place").sortWithinPartitions("doc_id", "hash", "place")
+    ranged.select("doc_id", "ids").mapInArrow(
         run, "part int, block long, tokens_before long, n_tokens long, doc_ids array<long>, sizes array<long>, control binary, data binary"
     ).write.option("compression", "zstd").parquet(f"{path}/blocks")
 
