@@ -101,4 +101,105 @@ y AS (
 SELECT doc_id, leaf, subroot, root, proof_sha256, {before} AS folded_root, {before} = root AS verified FROM y"""
 
 
-SQL = {"op11_warc": _OP11, "op12_fill_in_middle": _OP12, "op13_merkle_manifest": _op13()}
+_WORDS = r"'[^\x20\x09-\x0D]+'"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _grams(of: str, n: int) -> str:
+    """(r, i, size, gram) of the table ``of`` (r, words): the runs of n words
+    and where they start, ``size`` the words of the row; fewer words are one run."""
+    run = ", ".join(f"lead(word, {j}) OVER o" for j in range(n))
+    return (f"SELECT * FROM (SELECT r, i, size, concat_ws(' ', {run}) AS gram FROM (SELECT r, len(words) AS size, unnest(words) AS word, "
+            f"unnest(range(len(words))) AS i FROM {of}) WINDOW o AS (PARTITION BY r ORDER BY i)) WHERE i <= greatest(size - {n}, 0)")
+
+
+_OP3 = f"""
+WITH RECURSIVE w AS (
+    SELECT doc_id AS r, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), {_WORDS}) AS words FROM documents
+), s AS (
+    SELECT DISTINCT r, gram FROM ({_grams("w", 5)})
+), z AS (
+    SELECT w.r, coalesce(c.n, 0) AS n FROM w LEFT JOIN (SELECT r, count(*) AS n FROM s GROUP BY r) c ON c.r = w.r
+), meet AS (
+    SELECT a.r AS a, b.r AS b, count(*) AS n_both FROM s a JOIN s b ON a.gram = b.gram AND a.r <> b.r GROUP BY 1, 2
+), link AS (
+    SELECT a, b FROM meet JOIN z x ON x.r = a JOIN z y ON y.r = b WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)
+), reach AS (
+    SELECT r AS a, r AS b FROM z UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b
+)
+SELECT z.r AS doc_id, z.n AS n_shingles, c.component_id
+FROM z JOIN (SELECT a, min(b) AS component_id FROM reach GROUP BY a) c ON c.a = z.r"""
+
+#: every window at a place that an item gives is compared exactly
+_OP4 = f"""
+WITH i AS (
+    SELECT row_number() OVER () AS r, item_id, regexp_extract_all(lower(coalesce(text, '')), {_WORDS}) AS words FROM benchmark
+), ia AS (
+    SELECT r AS k, i AS spot, greatest(size - 4, 1) AS size, gram FROM ({_grams("i", 5)})
+), ic AS (
+    SELECT k, gram, count(*) AS n FROM ia GROUP BY 1, 2
+), d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(lower(text), {_WORDS}) AS words
+    FROM (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents)
+), da AS (
+    SELECT r, i AS pos, greatest(size - 4, 1) AS n, gram FROM ({_grams("d", 5)}) SEMI JOIN ic USING (gram)
+), placed AS (
+    SELECT r, k, n, size, unnest([pos - spot, pos, pos - size + 1]) AS lead FROM da JOIN ia USING (gram)
+), place AS (
+    SELECT DISTINCT r, k, size, greatest(lead, 0) AS start, least(lead + size, n) AS stop FROM placed
+), common AS (
+    SELECT r, k, size, start, stop, least(count(*), min(ic.n)) AS n
+    FROM place JOIN da USING (r) JOIN ic USING (k, gram) WHERE pos >= start AND pos < stop GROUP BY r, k, size, start, stop, gram
+), hit AS (
+    SELECT r, k, CAST(sum(n) AS BIGINT) AS shared, stop - start + size - CAST(sum(n) AS BIGINT) AS total FROM common GROUP BY r, k, size, start, stop
+)
+SELECT d.doc_id, i.item_id, round(max(CAST(shared AS DOUBLE) / total), 6) AS similarity, count(*) AS n_windows
+FROM hit JOIN d ON d.r = hit.r JOIN i ON i.r = hit.k WHERE 100 * shared >= 80 * total GROUP BY d.doc_id, i.item_id"""
+
+#: doublings that the SQL of repeats spells out: enough for texts of 2 ** 15 words
+_DOUBLINGS = 15
+
+
+def _op7() -> str:
+    """Repeats by prefix doubling: class b of a position is the first position
+    of the text where the same 2 ** b words stand; the longest repeat is put
+    together from the classes, the largest power first."""
+    def covered(n: int) -> str:
+        return (f"SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + {n})) AS j FROM ("
+                f"SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS again FROM ({_grams('d', n)}) WHERE size >= {n}) WHERE again > 1) GROUP BY r")
+
+    out = ["k0 AS MATERIALIZED (SELECT r, i, c FROM (SELECT r, i, min(i) OVER same AS c, count(*) OVER same AS m FROM "
+           "(SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d) WINDOW same AS (PARTITION BY r, word)) WHERE m > 1)"]
+    for b in range(_DOUBLINGS - 1):
+        out.append(f"k{b + 1} AS MATERIALIZED (SELECT r, i, c FROM (SELECT x.r, x.i, min(x.i) OVER same AS c, count(*) OVER same AS m FROM k{b} x "
+                   f"JOIN k{b} y ON y.r = x.r AND y.i = x.i + {1 << b} WINDOW same AS (PARTITION BY x.r, x.c, y.c)) WHERE m > 1)")
+    before = "k0_all"
+    out.append("k0_all AS (SELECT r, i, 0 AS c, 0 AS length FROM k0)")
+    for b in reversed(range(_DOUBLINGS)):
+        out.append(f"h{b} AS MATERIALIZED (SELECT r, i, c, length + {1 << b} AS length FROM (SELECT x.r, x.i, x.length, min(x.i) OVER same AS c, count(*) OVER same AS m "
+                   f"FROM {before} x JOIN k{b} y ON y.r = x.r AND y.i = x.i + x.length WINDOW same AS (PARTITION BY x.r, x.c, y.c)) WHERE m > 1)")
+        out.append(f"g{b} AS MATERIALIZED (SELECT * FROM h{b} UNION ALL SELECT * FROM {before} WHERE r NOT IN (SELECT r FROM h{b}))")
+        before = f"g{b}"
+    chain = ",\n".join(out)
+    return f"""
+WITH d AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {_WORDS}) AS words FROM documents
+), lines AS (
+    SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+    WHERE regexp_matches(line, {_WORDS}) GROUP BY r
+), three AS ({covered(3)}), eight AS ({covered(8)}),
+{chain},
+longest AS (SELECT r, max(length) AS n FROM {before} GROUP BY r),
+f AS (
+    SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\\x20\\x09-\\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+           CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(lines.n, 0) AS n_dup_lines,
+           coalesce(three.n, 0) AS n_repeat_words, coalesce(eight.n, 0) AS covered_words, CAST(coalesce(longest.n, 0) AS BIGINT) AS longest_repeat
+    FROM d LEFT JOIN lines USING (r) LEFT JOIN three USING (r) LEFT JOIN eight USING (r) LEFT JOIN longest USING (r)
+), v AS (
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f
+)
+SELECT *, NOT base_failed AND 100 * covered_words <= 40 * n_words AND longest_repeat <= 100 AS kept FROM v"""
+
+
+SQL = {"op3_ngram_join": _OP3, "op4_decontamination": _OP4, "op7_quality_rules": _op7(),
+       "op11_warc": _OP11, "op12_fill_in_middle": _OP12, "op13_merkle_manifest": _op13()}

@@ -88,7 +88,6 @@ def test_suffix_repeats(seed):
 def encoded(rows, name, end):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(tokenizer_path(name))
-    t.encode_special_tokens = True
     return [(k, np.array(t.encode(x or "", add_special_tokens=False).ids + [end], "<u4")) for k, x in rows]
 
 

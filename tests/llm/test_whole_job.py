@@ -1,10 +1,13 @@
 """What the operators once left out: cases of the second round's advice."""
 
 import collections
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from salescope.llm import decontaminate, html_extract, packing, secret_scan, token_output, url_filter
 from salescope.llm.tokens import tokenizer_path
@@ -123,3 +126,63 @@ def test_windows_that_no_shingle_aligns(spark):
     got = {r["doc_id"]: r["similarity"] for r in decontaminate.contaminated(docs, bench).collect()}
     assert got == {1: 0.864407, 2: 0.864407, 3: 0.864407, 4: 0.864407, 6: 0.864407}
     assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()) == [5, 7]
+
+
+def _weighted(words):
+    words = words.lower().split()
+    return [" ".join(words[i:i + 5]) for i in range(len(words) - 4)] if len(words) >= 5 else [" ".join(words)] if words else []
+
+
+def test_every_window_at_the_threshold(spark):
+    """Altered copies on both sides of 0.8, items that share their first words,
+    items twice, against all windows of all items."""
+    rng = random.Random(4)
+    lead = [f"lead{k}" for k in range(12)]
+    items = [(i, " ".join([*lead, *(f"i{i}w{k}" for k in range(rng.randint(10, 47)))])) for i in range(30)]
+    items += [items[0], (None, items[1][1]), (77, "one two three")]
+    docs = [(0, "one two three"), (1, "zero one two three"), (2, " ".join(lead)), (3, None)]
+    for k in range(10, 90):
+        words = items[k % 30][1].split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = f"d{k}x{rng.random()}"
+        docs.append((k, " ".join([*lead, *(f"a{j}" for j in range(rng.randint(0, 30))), *words, *(f"b{j}" for j in range(rng.randint(0, 30)))])))
+    docs += [docs[10], (None, docs[11][1])]
+    want = {}
+    for key, text in docs:
+        have = _weighted(text or "")
+        for item_id, words in items:
+            item = _weighted(words)
+            for start in range(1 - len(item), len(have)):
+                part = have[max(0, start):start + len(item)]
+                both = sum((Counter(part) & Counter(item)).values())
+                if both and 100 * both >= 80 * (len(part) + len(item) - both):
+                    want[key, item_id] = max(want.get((key, item_id), 0), round(both / (len(part) + len(item) - both), 6))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.contaminated(frame, bench).collect()}
+    assert got == want and 20 < len(want) < 200
+
+
+def test_rows_of_one_id_are_dealt_over_tasks(spark):
+    """A third of all rows are copies without an id: no task holds them all."""
+    rows = [(None, "the same words again and again")] * 400 + [(k, f"text of {k} " * (k % 7)) for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    path = scratch_path(spark, "dealt")
+    token_output.write_token_ids(docs, tokenizer_path("byte_bpe_50k.json"), path)
+    blocks = spark.read.parquet(f"{path}/blocks")
+    sizes = sorted(r["n"] for r in blocks.select("part", F.explode("doc_ids").alias("id")).groupBy("part").agg(F.count("*").alias("n")).collect())
+    assert sum(sizes) == 1200 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+    got = sorted(token_output.read_token_ids(spark, path).select("start", "doc_id", "n_tokens").collect())
+    assert [r["start"] for r in got] == [sum(r["n_tokens"] for r in got[:i]) for i in range(1200)]
+    assert [r["doc_id"] for r in got] == [None] * 400 + list(range(800))
+
+
+def test_whole_windows_before_a_task(spark):
+    rows = [(part, 1, part % 3) for part in range(0, 5000, 2)] + [(4, 2, 7)]
+    got = {r["part"]: r["wholes_before"] for r in packing._wholes_before(spark.createDataFrame(rows, "part int, rest int, wholes long")).collect()}
+    of, want, before = Counter(), {}, 0
+    for part, _, wholes in rows:
+        of[part] += wholes
+    for part in sorted(of):
+        want[part], before = before, before + of[part]
+    assert got == want
