@@ -35,8 +35,8 @@ from .storage import file_system
 HEADER_WITHIN = 2
 #: tasks that files are dealt to, at most
 MOST_TASKS = 10_000
-#: bytes parsed at a time; a line must fit
-_BLOCK = 8 << 20
+#: bytes parsed at a time; a file with a longer line is read by the larger blocks, in which a line must fit
+_BLOCK, _MOST_BLOCK = 2 << 20, 8 << 20
 #: bytes in which the header must lie
 _HEAD = 1 << 20
 
@@ -67,10 +67,16 @@ def header_of(head: bytes, labels: list[str], within: int = HEADER_WITHIN) -> tu
     raise Rejected("lacks " + ", ".join(x for x in labels if x not in best))
 
 
-def read_file(path: str, labels: list[str], emit: bool, within: int = HEADER_WITHIN) -> Iterator[pa.RecordBatch]:
+class _LongLine(Exception):
+    """A line is longer than a block."""
+
+
+def read_file(path: str, labels: list[str], emit: bool, within: int = HEADER_WITHIN, block: int = _BLOCK) -> Iterator[pa.RecordBatch]:
     """The cells under ``labels`` of one file, as text; an empty cell is null,
     a quoted empty one is empty. Raises ``Rejected``; without ``emit`` only
-    the whole file is checked and batches without columns are counted."""
+    the whole file is checked and batches without columns are counted. The
+    reader holds some tens of blocks ahead of the one that it gives; a line
+    longer than ``block`` raises ``_LongLine``."""
     try:
         with _open(path) as f:
             above, width, at = header_of(f.read(_HEAD), labels, within)
@@ -80,7 +86,7 @@ def read_file(path: str, labels: list[str], emit: bool, within: int = HEADER_WIT
         f = _open(path)
         try:
             reader = pacsv.open_csv(
-                f, pacsv.ReadOptions(use_threads=False, block_size=_BLOCK, skip_rows=above + 1, column_names=names),
+                f, pacsv.ReadOptions(use_threads=False, block_size=block, skip_rows=above + 1, column_names=names),
                 pacsv.ParseOptions(newlines_in_values=True, invalid_row_handler=lambda row: bad.append(row.number) or "skip"),
                 pacsv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()), include_columns=wanted if emit else names[:1] if not wanted else wanted,
                                      strings_can_be_null=True, null_values=[""], quoted_strings_can_be_null=False))
@@ -97,6 +103,8 @@ def read_file(path: str, labels: list[str], emit: bool, within: int = HEADER_WIT
         raise Rejected("no UTF-8") from None
     except (pa.ArrowException, OSError, EOFError) as e:
         text = str(e)
+        if "straddling object" in text and block < _MOST_BLOCK:
+            raise _LongLine from None
         raise Rejected("no UTF-8" if "UTF8" in text or "utf-8" in text.lower() else f"cannot be read: {text.splitlines()[0][:200] if text else type(e).__name__}") from None
 
 
@@ -125,27 +133,32 @@ def read_named_orders(spark: SparkSession, path: str, *, columns: list[str] = RA
     listing = spark.createDataFrame([(f,) for f in names], "source_file string").repartition(max(1, min(len(names), MOST_TASKS)))
     cells = pa.schema([("source_file", pa.string()), *[(c, pa.string()) for c in columns]])
 
-    def whole(file: str) -> tuple[int, Rejected | None]:
-        n = 0
-        try:
-            for batch in read_file(file, wanted, False, within):
-                n += batch.num_rows
-        except Rejected as e:
-            return 0, e
-        return n, None
+    def whole(file: str) -> tuple[int, Rejected | None, int]:
+        block = _BLOCK
+        while True:
+            n = 0
+            try:
+                for batch in read_file(file, wanted, False, within, block):
+                    n += batch.num_rows
+            except Rejected as e:
+                return 0, e, block
+            except _LongLine:
+                block = _MOST_BLOCK
+                continue
+            return n, None, block
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.column(0).to_pylist():
-                n, why = whole(file)
+                n, why, block = whole(file)
                 if n and not why:
-                    for part in read_file(file, wanted, True, within):
+                    for part in read_file(file, wanted, True, within, block):
                         yield pa.RecordBatch.from_arrays([pa.array([file] * part.num_rows, pa.string()), *part.columns], schema=cells)
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file in batch.column(0).to_pylist():
-                n, why = whole(file)
+                n, why, _ = whole(file)
                 yield pa.RecordBatch.from_pylist([{"source_file": file, "rows": n, "bad_lines": why.bad_lines if why else 0, "reason": why and why.reason}],
                                                  schema=pa.schema([("source_file", pa.string()), ("rows", pa.int64()), ("bad_lines", pa.int64()), ("reason", pa.string())]))
 
