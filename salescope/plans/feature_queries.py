@@ -12,7 +12,7 @@ from ..operators.cleaning import row_uuid
 from ..operators.filters import quantity_filter
 from ..operators.ranking import distributed_competition_rank_desc, distributed_dense_rank_desc
 from ..schema import DEFAULT_SNAPSHOT, FILE_LABELS, ORDER_COLS, RAW_ORDER_COLS, TARGET_KINDS
-from ..session import scratch_path
+from ..session import scratch_path, staged
 from ..sinks.files import write_clustered, write_csv, write_report, write_tables
 from ..sinks.versioned import VersionedTable, seed
 from ..sources import testbed as tb
@@ -136,7 +136,7 @@ def q_positional_files(spark, d):
     """Header-less files read by position; the header lines that
     arrive as rows fall to the quantity filter."""
     path = scratch_path(spark, "positional")
-    write_csv(collected(spark, d), path)
+    write_csv(collected(spark, d), path, compression="gzip")
     return quantity_filter(read_positional(spark, path))
 
 
@@ -155,7 +155,7 @@ def q_export_tables(spark, d):
     """The fact and three status sheets side by side,
     each read back; the fact written in two appends."""
     base = scratch_path(spark, "export")
-    fact = cleaned_by_store(spark, d)
+    fact = staged(cleaned_by_store(spark, d), "export-fact")             # five jobs read it
     write_tables({f"{k}_status": attainment.target_status(fact, tb.targets(spark, d, k), k) for k in TARGET_KINDS}, base)
     early = F.col("order_date") < F.lit("1998-01-01").cast("date")
     write_report(fact.where(early), f"{base}/orders")
@@ -180,7 +180,7 @@ def q_ordered_csv(spark, d):
     """O3: the collected fact as CSV in order of date; per file the rows, the
     steps back inside it, and whether it begins before the last one ends."""
     path = scratch_path(spark, "ordered-csv")
-    write_csv(collected(spark, d), path, order_by=["order_date", "order_no"])
+    write_csv(collected(spark, d), path, order_by=["order_date", "order_no"], compression="gzip")
     rows = read_order_files(spark, path, columns=ORDER_COLS, with_source=True).withColumn("at", F.monotonically_increasing_id())
     in_file = Window.partitionBy("source_file").orderBy("at")
     steps = rows.select("source_file", "order_date", F.lag("order_date").over(in_file).alias("before"))
@@ -188,7 +188,7 @@ def q_ordered_csv(spark, d):
                                              F.min("order_date").alias("low"), F.max("order_date").alias("high"))
     # one row a file
     follow = files.select("*", F.lag("high").over(Window.orderBy("source_file")).alias("last"))
-    return follow.agg(F.sum("n").alias("rows"), F.sum("back").alias("steps_back"), F.sum((F.col("last") > F.col("low")).cast("long")).alias("overlaps"))
+    return follow.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.sum("back"), F.lit(0)).alias("steps_back"), F.coalesce(F.sum((F.col("last") > F.col("low")).cast("long")), F.lit(0)).alias("overlaps"))
 
 
 def q_clustered_store_week_compare(spark, d):
@@ -200,9 +200,10 @@ def q_clustered_store_week_compare(spark, d):
 
 def q_report_order(spark, d):
     """The place of each row in the reports' own order."""
+    sold = staged(collected(spark, d).select("platform", "department", "quantity", "profit", "revenue"), "order-sold")   # two reports read it
     reports = {
-        "platform_attainment": (attainment.platform_attainment(collected(spark, d), tb.targets(spark, d, "platform")), "platform"),
-        "department_attainment": (attainment.department_attainment(collected(spark, d), tb.targets(spark, d, "department")), "department"),
+        "platform_attainment": (attainment.platform_attainment(sold, tb.targets(spark, d, "platform")), "platform"),
+        "department_attainment": (attainment.department_attainment(sold, tb.targets(spark, d, "department")), "department"),
         "target_status": (attainment.target_status(cleaned_by_store(spark, d), tb.targets(spark, d, "operator"), "operator"), "operator"),
         "store_week_compare": (compare.store_week_compare(cleaned_lines(spark, d), tb.AS_OF), "store"),
     }
