@@ -122,3 +122,15 @@ def test_order_files_are_parsed_in_small_blocks_and_long_lines_whole(spark, tmp_
     found = read_named_orders(spark, str(tmp_path), columns=["a", "b"], glob="long.csv")
     assert [tuple(r) for r in found.files.select("rows", "reason").collect()] == [(3, None)]
     assert sorted(tuple(r) for r in found.rows.select("a", F.length("b")).collect()) == [("1", 1), ("3", 5 << 20), ("4", 1)]
+
+
+def test_words_beyond_the_frequent_ones_keep_their_counts(spark, monkeypatch):
+    lm_score = pytest.importorskip("salescope.llm.lm_score")
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(i % 13)) + " common") for i in range(60)], "doc_id long, text string")
+
+    def base():
+        return [(r["doc_id"], r["n_known"], r["train_tokens"], round(r["base_score"], 9)) for r in lm_score.score_documents(docs).orderBy("doc_id").collect()]
+
+    want = base()
+    monkeypatch.setattr(lm_score, "FREQUENT", 3)
+    assert base() == want
