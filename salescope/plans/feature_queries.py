@@ -13,7 +13,7 @@ from ..operators.filters import quantity_filter
 from ..operators.ranking import distributed_competition_rank_desc, distributed_dense_rank_desc
 from ..schema import DEFAULT_SNAPSHOT, FILE_LABELS, ORDER_COLS, RAW_ORDER_COLS, TARGET_KINDS
 from ..session import scratch_path, staged
-from ..sinks.files import write_clustered, write_csv, write_report, write_tables
+from ..sinks.files import write_clustered, write_csv, write_dealt, write_report, write_tables
 from ..sinks.versioned import VersionedTable, seed
 from ..sources import testbed as tb
 from ..sources.files import read_order_files, read_positional, read_table, read_target
@@ -34,9 +34,11 @@ def _file_no(store: str = "store"):
 
 def write_layouts(spark, d, path: str) -> None:
     """The raw orders as files of three layouts: plain; a title line and the
-    columns reversed; a title line and more columns. Half of them are gzip."""
-    cells = [F.coalesce(F.col(c).cast("string"), F.lit(None)).alias(c) for c in RAW_ORDER_COLS]
-    orders = raw(spark, d).select(_file_no(), *cells)
+    columns reversed; a title line and more columns. Half of them are gzip.
+
+    The order lines are dealt to the files before their columns are spelled
+    out, one file a task, whose first row brings the lines above it along: no
+    row is sorted, and the lines are text only where they are written."""
     labels = [FILE_LABELS[c] for c in RAW_ORDER_COLS]
     layout = F.col("file_no") % 3
     extra = [F.lit("note, of the store").alias("extra1"), F.lit("x").alias("extra2")]
@@ -45,19 +47,20 @@ def write_layouts(spark, d, path: str) -> None:
         return F.to_csv(F.struct(*columns), {"escape": '"'})
 
     body = F.when(layout == 0, line(RAW_ORDER_COLS)).when(layout == 1, line(RAW_ORDER_COLS[::-1])).otherwise(line([extra[0], *RAW_ORDER_COLS, extra[1]]))
-    rows = orders.select("file_no", F.lit(2).alias("seq"), body.alias("line"))
     heads = [",".join(labels), ",".join(labels[::-1]), ",".join(["备注", *labels, "x"])]
     head = F.when(layout == 0, heads[0]).when(layout == 1, heads[1]).otherwise(heads[2])
     head = F.when(F.col("file_no") == NO_PROFIT, F.regexp_replace(head, FILE_LABELS["profit"], "other")).otherwise(head)
-    files = orders.select("file_no").distinct()
-    more = F.array(
-        F.when(layout > 0, F.struct(F.lit(0).alias("seq"), F.lit("orders of a store").alias("line"))),
-        F.struct(F.lit(1).alias("seq"), head.alias("line")),
-        F.when(F.col("file_no") == SHORT, F.struct(F.lit(3).alias("seq"), F.lit("2020-11-01,short").alias("line"))))
-    lines = rows.unionByName(files.select("file_no", F.explode(F.filter(more, lambda x: x.isNotNull())).alias("x")).select("file_no", "x.*"))
+    # concat_ws leaves out what is null
+    first = F.concat_ws("\n", F.when(layout > 0, F.lit("orders of a store")), head, "line", F.when(F.col("file_no") == SHORT, F.lit("2020-11-01,short")))
     for zipped in (0, 1):
-        part = lines.where(F.col("file_no") % 2 == zipped).repartition("file_no").sortWithinPartitions("file_no", "seq")
-        part.select("file_no", "line").write.option("compression", "gzip" if zipped else "none").partitionBy("file_no").text(f"{path}/{'gz' if zipped else 'plain'}")
+        lines = tb.order_lines(spark, d)
+        lines = lines.where(_file_no("s_name") % 2 == zipped).repartitionById(FILES // 2, F.shiftright(_file_no("s_name"), 1))
+        cells = [F.col(c).cast("string").alias(c) for c in RAW_ORDER_COLS]
+        orders = tb.order_columns(spark, d, lines).select(_file_no(), *cells)
+        # the lower 33 bits are a row's number in its task
+        placed = orders.select("file_no", body.alias("line"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("at"))
+        out = placed.select("file_no", F.when(F.col("at") == 0, first).otherwise(F.col("line")).alias("line"))
+        write_dealt(out, f"{path}/{'gz' if zipped else 'plain'}", ["file_no"], fmt="text", compression="gzip" if zipped else "none")
 
 
 def _layouts(spark, d):

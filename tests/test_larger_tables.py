@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from salescope.functions.numeric import money
 from salescope.operators import cleaning, dims, fills
 from salescope.plans import feature_queries as fq
-from salescope.sinks.files import write_clustered, write_csv, write_partitioned
+from salescope.sinks.files import write_clustered, write_csv, write_dealt, write_partitioned
 from salescope.sources import testbed as tb
 from salescope.sources.order_files import _BLOCK, read_file, read_named_orders
 
@@ -134,3 +134,32 @@ def test_words_beyond_the_frequent_ones_keep_their_counts(spark, monkeypatch):
     want = base()
     monkeypatch.setattr(lm_score, "FREQUENT", 3)
     assert base() == want
+
+
+def test_layouts_are_dealt_once_and_not_sorted(spark, tmp_path, monkeypatch):
+    """One shuffle of narrow rows and no sort of the lines for each half of the files; the setting of the write does not stay."""
+    plans = []
+    old = fq.write_dealt
+
+    def kept(df, *args, **more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        old(df, *args, **more)
+
+    monkeypatch.setattr(fq, "write_dealt", kept)
+    fq.write_layouts(spark, SF, str(tmp_path))
+    assert len(plans) == 2
+    for text in plans:
+        dealt = text[:text.index("REPARTITION_BY_NUM")]
+        assert "Sort" not in dealt and "Union" not in text
+        assert "to_csv" in dealt and "to_csv" not in text[len(dealt):]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    lines = [open(f, encoding="utf-8").read().splitlines() for f in sorted(str(x) for x in tmp_path.glob("plain/file_no=*/part-*"))]
+    assert lines and all(sum("订单号" in x for x in f) == 1 and any("订单号" in x for x in f[:2]) for f in lines)
+
+
+def test_rows_of_a_directory_are_written_in_their_order(spark, tmp_path):
+    rows = spark.range(0, 40_000, 1, 1).select((F.col("id") % 3).alias("k"), F.col("id").cast("string").alias("line"))
+    write_dealt(rows, str(tmp_path / "t"), ["k"], fmt="text", compression="none", writers=3)
+    for k in range(3):
+        (f,) = (tmp_path / "t" / f"k={k}").glob("part-*")
+        assert f.read_text().split() == [str(i) for i in range(k, 40_000, 3)]
