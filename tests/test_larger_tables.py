@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from salescope.functions.numeric import money
 from salescope.operators import cleaning, dims, fills
 from salescope.plans import feature_queries as fq
-from salescope.sinks.files import write_clustered, write_csv, write_dealt, write_partitioned
+from salescope.sinks.files import write_clustered, write_csv, write_dealt, write_fact, write_partitioned
 from salescope.sources import testbed as tb
 from salescope.sources.order_files import _BLOCK, read_file, read_named_orders
 
@@ -163,3 +163,17 @@ def test_rows_of_a_directory_are_written_in_their_order(spark, tmp_path):
     for k in range(3):
         (f,) = (tmp_path / "t" / f"k={k}").glob("part-*")
         assert f.read_text().split() == [str(i) for i in range(k, 40_000, 3)]
+
+
+def test_landed_fact_is_computed_once_and_a_large_day_is_spread(spark, tmp_path, monkeypatch):
+    n = spark.sparkContext.accumulator(0)
+    day = F.when(F.col("id") % 3 == 0, F.lit(dt.date(2020, 5, 5))).when(F.col("id") % 1000 == 1, F.lit(None).cast("date")).otherwise(F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 300).cast("int")))
+    df = spark.range(30_000).select(day.alias("order_date"), F.col("id").cast("string").alias("order_no"))
+    write_fact(counted(df, n), str(tmp_path / "t"), keys=df)
+    assert n.value == 30_000
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert sorted(r[0] for r in back.select("order_no").collect()) == sorted(str(i) for i in range(30_000))
+    assert back.where("order_month is null").count() == back.where("order_date is null").count() == 20
+    files = back.withColumn("f", F.input_file_name()).groupBy("f").agg(F.sum((F.col("order_date") == dt.date(2020, 5, 5)).cast("int")).alias("n"))
+    large = [r["n"] for r in files.collect() if r["n"]]
+    assert sum(large) == 10_000 + df.where("order_date = date'2020-05-05' and cast(order_no as int) % 3 <> 0").count() and max(large) < 7_000
