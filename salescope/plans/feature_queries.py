@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import row_uuid
+from ..operators.dims import attach_store_dim
 from ..operators.filters import quantity_filter
 from ..operators.ranking import distributed_competition_rank_desc, distributed_dense_rank_desc
-from ..schema import DEFAULT_SNAPSHOT, FILE_LABELS, ORDER_COLS, RAW_ORDER_COLS, TARGET_KINDS
+from ..schema import DEFAULT_SNAPSHOT, DIM_COLS, FILE_LABELS, ORDER_COLS, RAW_ORDER_COLS, TARGET_KINDS
 from ..session import scratch_path, staged
 from ..sinks.files import write_clustered, write_csv, write_dealt, write_report, write_tables
 from ..sinks.versioned import VersionedTable, seed
@@ -181,9 +182,14 @@ def q_unique_row_ids(spark, d):
 
 def q_ordered_csv(spark, d):
     """O3: the collected fact as CSV in order of date; per file the rows, the
-    steps back inside it, and whether it begins before the last one ends."""
+    steps back inside it, and whether it begins before the last one ends. The
+    order lines have their store's columns when they are put in order, and are
+    spelled out where they are written."""
     path = scratch_path(spark, "ordered-csv")
-    write_csv(collected(spark, d), path, order_by=["order_date", "order_no"], compression="gzip")
+    lines = attach_store_dim(tb.order_lines(spark, d), tb.store_dim(spark, d), store_col="s_name")
+    cells = tb.order_cells(spark, d)
+    write_csv(lines, path, order_by=[cells["order_date"], cells["order_no"]], compression="gzip",
+              spell=lambda rows: collect_orders(tb.order_columns(spark, d, rows, keep=tuple(DIM_COLS)), None))
     rows = read_order_files(spark, path, columns=ORDER_COLS, with_source=True).withColumn("at", F.monotonically_increasing_id())
     in_file = Window.partitionBy("source_file").orderBy("at")
     steps = rows.select("source_file", "order_date", F.lag("order_date").over(in_file).alias("before"))

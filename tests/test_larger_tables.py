@@ -1,7 +1,10 @@
 """What the order queries cost on larger tables: rows without a key, second computations, columns and bytes moved."""
 
+import csv
 import datetime as dt
 import decimal
+import glob
+import gzip
 import os
 import re
 
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from salescope.functions.numeric import money
 from salescope.operators import cleaning, dims, fills
 from salescope.plans import feature_queries as fq
+from salescope.schema import ORDER_COLS
 from salescope.sinks.files import write_clustered, write_csv, write_dealt, write_fact, write_partitioned
 from salescope.sources import testbed as tb
 from salescope.sources.order_files import _BLOCK, read_file, read_named_orders
@@ -177,3 +181,33 @@ def test_landed_fact_is_computed_once_and_a_large_day_is_spread(spark, tmp_path,
     files = back.withColumn("f", F.input_file_name()).groupBy("f").agg(F.sum((F.col("order_date") == dt.date(2020, 5, 5)).cast("int")).alias("n"))
     large = [r["n"] for r in files.collect() if r["n"]]
     assert sum(large) == 10_000 + df.where("order_date = date'2020-05-05' and cast(order_no as int) % 3 <> 0").count() and max(large) < 7_000
+
+
+def test_ordered_csv_moves_narrow_rows_and_holds_the_collected_fact(spark, monkeypatch):
+    """Rows are put in order before they are spelled out; what is written is the collected fact, in order over all files."""
+    made = []
+    old = fq.write_csv
+    monkeypatch.setattr(fq, "write_csv", lambda df, path, **more: (made.append((df, path, more)), old(df, path, **more)))
+    fq.q_ordered_csv(spark, SF).collect()
+    ((df, path, more),) = made
+    moved = df.repartitionByRange(*more["order_by"])._jdf.queryExecution().optimizedPlan().output().size()
+    assert moved <= 20 < len(ORDER_COLS)
+    text = more["spell"](df.repartitionByRange(*more["order_by"]).sortWithinPartitions(*more["order_by"]))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text[:text.index("rangepartitioning")] and "Sort [" in text[:text.index("rangepartitioning")]
+    back = spark.read.option("header", True).csv(path)
+    want = fq.collected(spark, SF).select(*[F.col(c).cast("string") for c in ORDER_COLS])
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, want.collect()))
+    rows = []
+    for f in sorted(glob.glob(path.removeprefix("file:") + "/*.csv.gz")):
+        with gzip.open(f, "rt", encoding="utf-8") as lines:
+            rows += [(r["order_date"], r["order_no"]) for r in csv.DictReader(lines)]
+    assert rows == sorted(rows) and len(rows) == back.count()
+
+
+def test_lines_keep_their_rows_where_names_cannot_be_broadcast(spark, no_broadcast):
+    few = sorted(map(repr, tb.raw_orders(spark, SF).collect()))
+    text = tb.order_lines(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(l_suppkey" in text
+    dims.DIM_BROADCAST_MAX_ROWS = 500_000                            # put back by the fixture
+    tb._SCANS.clear()
+    assert sorted(map(repr, tb.raw_orders(spark, SF).collect())) == few
