@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from salescope.functions.numeric import money
 from salescope.operators import cleaning, dims, fills
+from salescope.plans import catalog
 from salescope.plans import feature_queries as fq
+from salescope.plans import operator_queries as op
 from salescope.schema import ORDER_COLS
+from salescope.sinks import files
 from salescope.sinks.files import write_clustered, write_csv, write_dealt, write_fact, write_partitioned
 from salescope.sources import testbed as tb
 from salescope.sources.order_files import _BLOCK, read_file, read_named_orders
@@ -211,3 +214,22 @@ def test_lines_keep_their_rows_where_names_cannot_be_broadcast(spark, no_broadca
     dims.DIM_BROADCAST_MAX_ROWS = 500_000                            # put back by the fixture
     tb._SCANS.clear()
     assert sorted(map(repr, tb.raw_orders(spark, SF).collect())) == few
+
+
+@pytest.mark.parametrize("held", [True, False])
+def test_the_landed_fact_meets_goods_and_days_as_narrow_rows(spark, request, tmp_path, monkeypatch, held):
+    """The fact is the same as from whole rows, its columns are made after the last shuffle."""
+    if not held:
+        request.getfixturevalue("no_broadcast")
+    made = []
+    monkeypatch.setattr(files, "write_fact", lambda df, path, **more: (made.append((df, path)), write_fact(df, path, **more)))
+    op.q_landed_store_week_compare(spark, SF)
+    ((df, path),) = made
+    want = catalog.cleaned(spark, SF)
+    assert df.dtypes == want.dtypes
+    assert sorted(map(repr, df.collect())) == sorted(map(repr, want.collect()))
+    back = spark.read.parquet(path).drop("order_month").select(want.columns)
+    assert sorted(map(repr, back.collect())) == sorted(map(repr, want.collect()))
+    text = df.select("*")._jdf.queryExecution().executedPlan().toString()       # a plan that has not run
+    moved = text[text.index("REPARTITION_BY_NUM"):]
+    assert "settle_total" not in moved and "more fields" not in moved and "settle_total" in text
