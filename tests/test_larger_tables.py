@@ -233,3 +233,17 @@ def test_the_landed_fact_meets_goods_and_days_as_narrow_rows(spark, request, tmp
     text = df.select("*")._jdf.queryExecution().executedPlan().toString()       # a plan that has not run
     moved = text[text.index("REPARTITION_BY_NUM"):]
     assert "settle_total" not in moved and "more fields" not in moved and "settle_total" in text
+
+
+@pytest.mark.parametrize("most", [1000, 4, 0])
+def test_texts_of_a_dimension_come_back_from_their_number(spark, monkeypatch, most):
+    monkeypatch.setattr(dims, "MOST_VALUES", most)
+    rows = [(i, f"S{i}", None if i % 5 == 0 else f"b{i % 4}", "" if i % 7 == 0 else f"c{i % 6}", None) for i in range(60)]
+    goods = spark.createDataFrame([*rows, rows[3], (99, None, "x", "y", "z")], "id long, sku string, brand string, category string, manager string")
+    n = dims.Numbered(goods, dims.GOODS_COLS[1:])
+    assert n.plain == {1000: (), 4: ("brand", "category"), 0: dims.GOODS_COLS[1:]}[most]
+    back = n.rows.select("id", "sku", *[n.value(c, F.col("look")).alias(c) if c in n.values else c for c in dims.GOODS_COLS[1:]])
+    assert back.dtypes == goods.dtypes and sorted(map(repr, back.collect())) == sorted(map(repr, goods.collect()))
+    if n.values:
+        empty = spark.createDataFrame([(None,)], "look long")
+        assert [tuple(r) for r in empty.select(*[n.value(c, F.col("look")) for c in n.values]).collect()] == [(None,) * len(n.values)]
