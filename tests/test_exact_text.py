@@ -25,6 +25,17 @@ def test_ties_and_signs(spark):
     assert got == [f"{v:.2f}" for v in values]
 
 
+def test_large_values_have_their_exact_decimals(spark):
+    rng = np.random.default_rng(5)
+    values = [238833386172828.3125, 1e14, -1e14, 2.0 ** 53, 8.9e18, *(float(v) for e in range(13, 19) for v in rng.uniform(-10.0 ** e, 10.0 ** e, 2000)),
+              *(float(np.nextafter(2.0 ** 46, y)) for y in (0, np.inf)), *(10.0 ** 14 + k / 64 for k in range(64))]
+    values = [v for v in values if abs(v) < 9e18]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(fn.float_fixed("x")).collect()]
+    assert got == [f"{v:.2f}" for v in values]
+    odd = [math.inf, -math.inf, None, 1e300, 9e18]
+    assert len(spark.createDataFrame([(v,) for v in odd], "x double").select(fn.float_fixed("x")).collect()) == len(odd)
+
+
 @settings(max_examples=20, deadline=None)
 @given(st.lists(st.tuples(st.floats(-1e9, 1e9), st.floats(-1e9, 1e9)), min_size=1, max_size=200))
 def test_sheet_percent(spark, pairs):
